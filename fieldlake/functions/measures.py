@@ -29,7 +29,7 @@ def money(amount: Column) -> Column:
 
 def times_rate(quantity: Column, rate: str) -> Column:
     """An exact product of a measured quantity and a rate given as text."""
-    return quantity.cast("decimal(18,4)") * F.lit(Decimal(rate))
+    return quantity.try_cast("decimal(18,4)") * F.lit(Decimal(rate))
 
 
 def hour_of(timestamp: Column) -> Column:

@@ -178,7 +178,7 @@ def fertilizer_use(
 ) -> DataFrame:
     done = with_cost_center(fertilizer.where(is_not("application_status", "CANCELLED")), blocks, cost_centers)
     costed = with_unit_cost(done, materials)
-    amount = F.col("quantity_kg").cast("decimal(18,4)") * F.col("standard_cost").cast("decimal(18,4)")
+    amount = F.col("quantity_kg").try_cast("decimal(18,4)") * F.col("standard_cost").cast("decimal(18,4)")
     return _events(
         costed,
         _event(

@@ -1,0 +1,53 @@
+"""Compare a catalogue query with its SQL, value by value."""
+
+from __future__ import annotations
+
+import datetime
+from collections import Counter
+from decimal import Decimal
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, Decimal):
+        return ("decimal", str(value.normalize()))
+    if isinstance(value, float):
+        return ("double", repr(value))
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        raise TypeError("show dates and times as text")
+    return value
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def compare(df, con, sql):
+    """None if both agree, else what differs."""
+    cursor = con.execute(sql)
+    names = [column[0] for column in cursor.description]
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    wanted = rows_of(names, cursor.fetchall())
+    found = rows_of(df.columns, df.collect())
+    if wanted == found:
+        return None
+    extra, lacking = found - wanted, wanted - found
+    return (
+        f"{sum(found.values())} rows against {sum(wanted.values())}; "
+        f"only in Spark {list(extra.items())[:3]}; only in SQL {list(lacking.items())[:3]}"
+    )
