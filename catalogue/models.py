@@ -83,7 +83,7 @@ def report(spark, sf, source):
     return dq_report(
         stamped_silver(spark, sf, source),
         CONTRACTS[source],
-        as_of=F.lit(AS_OF),
+        as_of=AS_OF,
         raw=raw_source(spark, sf, source),
     )
 
@@ -188,10 +188,10 @@ def cases():
             dates=("ship_date",),
         ),
         "dq_report_lines": case(
-            lambda spark, sf: dq_report(load(spark, sf, "lineitem"), LINES, as_of=F.lit(AS_OF)), LINES_SQL
+            lambda spark, sf: dq_report(load(spark, sf, "lineitem"), LINES, as_of=AS_OF), LINES_SQL
         ),
         "gate_status_lines": case(
-            lambda spark, sf: gate_status(dq_report(load(spark, sf, "lineitem"), LINES, as_of=F.lit(AS_OF))),
+            lambda spark, sf: gate_status(dq_report(load(spark, sf, "lineitem"), LINES, as_of=AS_OF)),
             f"""select checks, critical_failures, other_failures, critical_failures = 0 as open from (
                 select count(*) as checks, count(*) filter (where critical and not passed) as critical_failures,
                 count(*) filter (where not critical and not passed) as other_failures from ({LINES_SQL}))""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,7 +49,7 @@ def _plus(columns: Sequence[Column]) -> Column:
 def dq_report(
     df: DataFrame,
     contract: SourceContract,
-    as_of: Column | None = None,
+    as_of: date | None = None,
     raw: DataFrame | None = None,
     required_columns: Sequence[str] | None = None,
     freshness_mode: str = "newest",
@@ -114,7 +115,7 @@ def dq_report(
         results.append(_result("row_count", rows == wanted, rows, wanted, F.lit("rows")))
     results.append(_result("valid_ranges", out_total == 0, out_total, zero, _listing(out_counts)))
     if as_of is not None:
-        days = F.datediff(as_of, F.col("stamp")) if age is not None else F.lit(None).cast("int")
+        days = F.datediff(F.lit(as_of), F.col("stamp")) if age is not None else F.lit(None).cast("int")
         detail = F.lit(f"age in days of the {freshness_mode} row")
         results.append(_result("freshness", days <= max_age_days, days, F.lit(max_age_days), detail))
     if raw is not None:
