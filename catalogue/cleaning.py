@@ -10,7 +10,7 @@ from fieldlake.functions.parsing import to_type
 from fieldlake.operators.cleaning import clean_rows, drop_null_keys, nullify_blanks, parse_losses, standardize
 from fieldlake.operators.conform import apply_contract, text_widths
 from fieldlake.operators.dedupe import dedupe, duplicate_counts
-from fieldlake.operators.measures import filter_in, is_not
+from fieldlake.operators.measures import filter_in, first_rows, is_not
 from fieldlake.operators.quality import implication_check
 from fieldlake.plans.estate import SERVING
 
@@ -281,6 +281,10 @@ def cases():
             times=("event_hour",),
             dates=("event_date",),
         ),
+        "first_rows": case(
+            lambda spark, sf: first_rows(gold(spark, sf, "dim_equipment"), ["equipment_id"]),
+            f"select * from ({model_sql('dim_equipment')}) order by equipment_id limit 5",
+        ),
         "sentinel_rule": case(sentinel, SENTINEL_SQL),
         "text_widths": case(
             lambda spark, sf: text_widths(gold(spark, sf, "fact_harvest"), SERVING["fact_harvest"]),

@@ -11,7 +11,7 @@ from fieldlake.contracts import ModelSpec, Range, SourceContract
 from fieldlake.operators.cleaning import clean
 from fieldlake.operators.lookup import lookup, orphan_keys, orphan_summary
 from fieldlake.operators.models import build_model
-from fieldlake.operators.quality import compare_layers, dq_report, gate_status, layer_counts, missing_keys, reconcile
+from fieldlake.operators.quality import compare_layers, dq_report, gate_status, layer_counts, missing_keys, reconcile, verify_tables
 from fieldlake.plans.estate import MODELS
 
 RUN_TS = datetime(2024, 2, 1, 6, 0, 0)
@@ -154,6 +154,17 @@ def unfinished_silver(spark, sf):
     return silver(spark, sf, "harvest").where(F.col("harvested_weight_kg").isNotNull())
 
 
+def _verify_sql(model):
+    key = MODELS[model].key
+    part = ", ".join(key)
+    null = " or ".join(f"{k} is null" for k in key)
+    wanted = "cast(1 as bigint)" if model == "fact_harvest" else "cast(null as bigint)"
+    return f"""select *, coalesce(duplicate_keys = 0 and null_keys = 0 and (expected_rows is null or rows = expected_rows), false)
+      as passed from (select '{model}' as table_name, count(*) as rows,
+      count(*) - count(distinct ({part})) as duplicate_keys,
+      count(*) filter (where {null}) as null_keys, {wanted} as expected_rows from ({model_sql(model)}))"""
+
+
 COUNTED = ("lineitem", "orders", "events", "customer", "part", "supplier", "nation", "region")
 RAW_AND_CLEAN = ("weather", "harvest", "fertilizer", "equipment", "hr", "finance")
 
@@ -222,6 +233,12 @@ def cases():
             )
             + ")",
         ),
+        "verified_models": case(
+            lambda spark, sf: verify_tables(
+                {name: (gold(spark, sf, name), spec.key) for name, spec in MODELS.items()}, {"fact_harvest": 1}
+            ),
+            " union all ".join(_verify_sql(name) for name in MODELS),
+        ),
         "orphan_employees": case(
             lambda spark, sf: orphan_keys(
                 silver(spark, sf, "harvest"), silver(spark, sf, "hr"), {"employee_id": "employee_id"}

@@ -63,8 +63,24 @@ def _harvest_kpis_sql(condition="true"):
         round(avg(moisture_pct), 6) as avg_moisture from ({HARVEST}) where {condition}"""
 
 
+STATUS_COLUMNS = {
+    "harvest": "status",
+    "fertilizer": "application_status",
+    "equipment": "status",
+    "hr": "attendance_status",
+    "sensors": "sensor_status",
+}
+
+
 def cases():
     found = {
+        "status_mix": case(
+            lambda spark, sf: r.status_mix({n: (silver(spark, sf, n), c) for n, c in STATUS_COLUMNS.items()}),
+            " union all ".join(
+                f"select '{n}' as source, {c} as status, count(*) as rows from ({silver_sql(n)}) group by {c}"
+                for n, c in STATUS_COLUMNS.items()
+            ),
+        ),
         "overview": case(
             _overview,
             f"""select count(*) as operations, {KG}, (select sum(amount) from ({REVENUE})) as amount,

@@ -14,7 +14,7 @@ from fieldlake.operators.dedupe import dedupe
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than one part in this many of all rows is hot; there cannot be more such keys.
-HOT_KEYS = 1_000
+HOT_KEYS = 50_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -30,9 +30,12 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BY
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], limit: int = HOT_KEYS) -> DataFrame:
-    """Keys that hold more than 1/limit of the rows: never more than ``limit`` rows."""
-    per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.select(F.count(F.lit(1)).alias("_total"))
+    """Keys that hold more than 1/limit of the rows that have a key: never more than ``limit``.
+
+    The total is added up from the same per-key counts, so the frame is counted once.
+    """
+    per_key = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    total = per_key.agg(F.sum("_rows").alias("_total"))
     return per_key.where(F.col("_rows") * limit > total.scalar()).select(*on)
 
 
@@ -78,25 +81,17 @@ def lookup(
     out. ``normalise`` compares text keys upper-cased and trimmed. A reference measured to be small
     is broadcast; a larger one is shuffled with the hot keys kept apart.
     """
-    texts = {f.name for f in fact.schema.fields if f.dataType.simpleString() == "string"}
-    as_key = {
-        left: (lambda c: code(c)) if normalise and left in texts else (lambda c: c) for left in on
-    }
     slots = {left: f"_key_{i}" for i, left in enumerate(on)}
-    taken = {name: f"_take_{name}" for name in take}
-    keyed = fact.withColumns({slots[left]: as_key[left](F.col(left)) for left in on})
-    reference = ref.withColumns({slots[left]: as_key[left](F.col(right)) for left, right in on.items()})
     keys = list(slots.values())
-    reference = reference.dropna(subset=keys)
+    keyed = _keyed(fact, {slot: left for left, slot in slots.items()}, normalise)
+    reference = _keyed(ref, {slots[left]: right for left, right in on.items()}, normalise).dropna(subset=keys)
+    taken = {name: f"_take_{name}" for name in take}
     if order_by:
         reference = dedupe(reference, keys, order_by)
     reference = reference.select(*keys, *[F.col(name).alias(slot) for name, slot in taken.items()])
     if not order_by:
         reference = dedupe(reference, keys)
-    if is_small(reference, max_rows):
-        joined = keyed.join(F.broadcast(reference), keys, "left")
-    else:
-        joined = _join_hot_apart(keyed, reference, keys, hot_limit)
+    joined = _join_unique(keyed, reference, keys, max_rows, hot_limit)
     filled = {
         name: F.col(slot) if take[name] is None else F.coalesce(F.col(slot), F.lit(take[name]))
         for name, slot in taken.items()
@@ -105,11 +100,41 @@ def lookup(
     return joined.select(*kept, *[column.alias(name) for name, column in filled.items()])
 
 
-def keep_members(df: DataFrame, members: DataFrame, on: Sequence[str], **options: Any) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``members``."""
-    listed = members.select(*on).distinct().withColumn("_member", F.lit(True))
-    found = lookup(df, listed, {name: name for name in on}, {"_member": None}, **options)
-    return found.where(F.col("_member")).drop("_member")
+def _keyed(df: DataFrame, slots: Mapping[str, str], normalise: bool) -> DataFrame:
+    """Add the key columns to be compared, text ones in their comparable form if wanted."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {
+            slot: code(F.col(name)) if normalise and kinds[name] == "string" else F.col(name)
+            for slot, name in slots.items()
+        }
+    )
+
+
+def _join_unique(
+    fact: DataFrame, ref: DataFrame, keys: list[str], max_rows: int, hot_limit: int
+) -> DataFrame:
+    """Left join on a reference with one row per key, by its measured size."""
+    if is_small(ref, max_rows):
+        return fact.join(F.broadcast(ref), keys, "left")
+    return _join_hot_apart(fact, ref, keys, hot_limit)
+
+
+def keep_members(
+    df: DataFrame,
+    members: DataFrame,
+    on: Sequence[str],
+    normalise: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+    hot_limit: int = HOT_KEYS,
+) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``members``; as skew-proof as ``lookup``."""
+    slots = {f"_key_{i}": name for i, name in enumerate(on)}
+    keys = list(slots)
+    listed = _keyed(members.select(*on), slots, normalise).select(*keys).dropna().distinct()
+    listed = listed.withColumn("_member", F.lit(True))
+    found = _join_unique(_keyed(df, slots, normalise), listed, keys, max_rows, hot_limit)
+    return found.where(F.col("_member")).select(*df.columns)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -142,8 +167,9 @@ def orphan_summary(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -
 
 
 def distinct_union(*frames: DataFrame) -> DataFrame:
-    """The set of all rows of the frames, by column name. Each side is reduced before they meet."""
-    union = frames[0].distinct()
+    """The set of all rows of the frames, by column name. Tasks drop their own repeats before the
+    one shuffle."""
+    union = frames[0]
     for frame in frames[1:]:
-        union = union.unionByName(frame.distinct())
+        union = union.unionByName(frame)
     return union.distinct()

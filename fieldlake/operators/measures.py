@@ -74,3 +74,8 @@ def top_k(df: DataFrame, value: str, key: str, n: int = 10) -> DataFrame:
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
+
+
+def first_rows(df: DataFrame, by: Sequence[str], n: int = 5) -> DataFrame:
+    """A few rows to look at, the first by ``by``."""
+    return df.orderBy(*by).limit(n)

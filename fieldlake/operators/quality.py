@@ -188,6 +188,31 @@ def compare_layers(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]
     return sides.withColumn("same", F.col("left_rows").eqNullSafe(F.col("right_rows")))
 
 
+def verify_tables(
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], expected: Mapping[str, int] | None = None
+) -> DataFrame:
+    """One row per finished table, given with its key: rows, duplicate keys, rows with a NULL key
+    part, the expected rows if known, and whether all is well."""
+    checked = []
+    for name, (df, keys) in tables.items():
+        has_null = F.lit(False)
+        for key in keys:
+            has_null = has_null | F.col(key).isNull()
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        wanted = F.lit((expected or {}).get(name)).cast("bigint")
+        counts = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys"),
+            F.coalesce(F.sum(F.when(has_null, F.col("n"))), F.lit(0)).alias("null_keys"),
+        )
+        checked.append(counts.select(F.lit(name).alias("table_name"), "*", wanted.alias("expected_rows")))
+    union = checked[0]
+    for other in checked[1:]:
+        union = union.unionByName(other)
+    complete = F.col("expected_rows").isNull() | (F.col("rows") == F.col("expected_rows"))
+    return union.withColumn("passed", (F.col("duplicate_keys") == 0) & (F.col("null_keys") == 0) & complete)
+
+
 def gate_status(report: DataFrame) -> DataFrame:
     """One row: number of checks, failures that stop a run, other failures, and whether it may go on."""
     failed = ~F.col("passed")

@@ -47,6 +47,21 @@ def _trend(df: DataFrame, date: str, measures: Mapping[str, str]) -> DataFrame:
     return breakdown(df, date, measures, drop_null_keys=True).orderBy(date)
 
 
+# All sources
+
+
+def status_mix(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows per status of every source, given with the name of its status column."""
+    mixes = [
+        df.groupBy(F.lit(name).alias("source"), F.col(column).alias("status")).agg(_rows("rows"))
+        for name, (df, column) in sources.items()
+    ]
+    union = mixes[0]
+    for mix in mixes[1:]:
+        union = union.unionByName(mix)
+    return union
+
+
 # Overview
 
 
@@ -117,22 +132,22 @@ def harvest_by_grade(harvest: DataFrame) -> DataFrame:
 
 
 def ledger_kpis(ledger: DataFrame) -> DataFrame:
-    """One row: gross of both sides, each side, lines, categories and the currencies in use."""
-    side = F.col("debit_credit_indicator")
-    return ledger.agg(
+    """One row: gross of both sides, each side, lines, categories and the currencies in use.
+
+    The ledger is read once, into few groups, from which all figures follow.
+    """
+    side, lines = F.col("debit_credit_indicator"), F.col("lines")
+    groups = breakdown(ledger, ["debit_credit_indicator", "transaction_type", "currency"], AMOUNT, rows_as="lines")
+    return groups.agg(
         F.sum("amount").alias("gross"),
         F.sum(F.when(side == DEBIT, F.col("amount"))).alias("debit"),
         F.sum(F.when(side == CREDIT, F.col("amount"))).alias("credit"),
-        _rows("lines"),
-        F.count_if(side == DEBIT).alias("debit_lines"),
-        F.count_if(side == CREDIT).alias("credit_lines"),
+        F.sum(lines).alias("lines"),
+        F.sum(F.when(side == DEBIT, lines)).alias("debit_lines"),
+        F.sum(F.when(side == CREDIT, lines)).alias("credit_lines"),
         F.count_distinct("transaction_type").alias("categories"),
-    ).withColumn("currencies", _currencies(ledger).scalar())
-
-
-def _currencies(ledger: DataFrame) -> DataFrame:
-    listed = ledger.select("currency").distinct()
-    return listed.agg(F.array_join(F.array_sort(F.collect_set("currency")), ",").alias("currencies"))
+        F.array_join(F.array_sort(F.collect_set("currency")), ",").alias("currencies"),
+    )
 
 
 def ledger_trend(ledger: DataFrame) -> DataFrame:
@@ -156,12 +171,18 @@ def ledger_top_accounts(ledger: DataFrame, n: int = 10) -> DataFrame:
 
 
 def fertilizer_kpis(fertilizer: DataFrame) -> DataFrame:
-    return fertilizer.agg(
-        *sums(fertilizer, QUANTITY).values(),
+    """One row; the facts are first reduced to one row per material and block."""
+    groups = fertilizer.groupBy("material_id", "block_id").agg(
+        F.sum("quantity_kg").alias("kg"),
+        F.count("quantity_kg").alias("weighed"),
         _rows("applications"),
+    )
+    return groups.agg(
+        F.round(F.sum("kg"), 4).alias("kg"),
+        F.sum("applications").alias("applications"),
         F.count_distinct("material_id").alias("materials"),
         F.count_distinct("block_id").alias("blocks"),
-        _mean("quantity_kg").alias("avg_kg"),
+        F.round(F.try_divide(F.sum("kg"), F.sum("weighed")), 6).alias("avg_kg"),
     )
 
 

@@ -13,6 +13,7 @@ from fieldlake.sources.layout import Layout
 
 # Copies of one key are first reduced within this many parts, then to one.
 DEDUPE_PARTS = 8
+READING_DATE = "reading_date"
 # Progress reports kept per stream; the rows of a run are added up from them.
 KEPT_PROGRESS = 1_000_000
 
@@ -136,16 +137,23 @@ def silver_stream(
     late_horizon: str | None = None,
     parts: int = DEDUPE_PARTS,
     max_files: int | None = None,
+    by_day: bool = False,
 ) -> int:
-    """Raw live table to the cleaned live table; returns the rows added."""
+    """Raw live table to the cleaned live table; returns the rows added.
+
+    ``by_day`` partitions the cleaned table by the day of the reading, in ``reading_date``.
+    """
     bronze = layout.live_bronze(contract.name)
     raw = read_table_stream(spark, contract, bronze, layout.table_format, max_files)
     cleaned = clean_stream(raw, contract, late_horizon=late_horizon, parts=parts)
+    if by_day:
+        cleaned = cleaned.withColumn(READING_DATE, F.to_date("timestamp"))
     return drain(
         cleaned,
         layout.live_silver(contract.name),
         layout.checkpoint(f"{contract.name}_live_silver"),
         layout.table_format,
+        (READING_DATE,) if by_day else (),
     )
 
 
