@@ -53,9 +53,11 @@ def _join_hot_apart(fact: DataFrame, ref: DataFrame, on: list[str], limit: int)
     for name in on:
         nothing_to_find = nothing_to_find | F.col(name).isNull()
     row = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in fact.columns])
-    spread = F.when(nothing_to_find, F.abs(F.pmod(row, F.lit(1 << 30))) + 1).otherwise(0)
+    spread = F.when(nothing_to_find, F.pmod(row, F.lit(1 << 30)) + 1).otherwise(F.lit(0).cast("bigint"))
     marked = fact.join(F.broadcast(hot), list(on), "left").withColumn("_spread", spread)
-    cold = ref.select(*on, F.struct(*taken).alias("_values"), F.lit(0).cast("bigint").alias("_spread"))
+    # A computed zero: a literal would be folded out of the join keys, and the rows not be spread.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
+    cold = ref.select(*on, F.struct(*taken).alias("_values"), zero.alias("_spread"))
     joined = marked.join(cold, [*on, "_spread"], "left")
     found = F.coalesce(F.col("_hot_values"), F.col("_values"))
     return joined.withColumn("_found", found).select(

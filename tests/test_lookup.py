@@ -74,13 +74,23 @@ def test_hot_rows_are_spread(spark, skewed):
     """With the hot key apart, no shuffle partition of the lookup holds the hot third."""
     fact, _ = skewed
     ref = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(400)]], "code string, v int")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def largest(joined):
+        sizes = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert sum(r["n"] for r in sizes) == 3000
+        return max(r["n"] for r in sizes)
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        joined = lookup(fact, ref, {"k": "code"}, {"v": None}, max_rows=0, hot_limit=10)
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        plain = fact.join(ref, fact["k"] == ref["code"], "left")
+        assert largest(plain) > 1000
+        for limit in (10, 100):
+            assert largest(lookup(fact, ref, {"k": "code"}, {"v": None}, max_rows=0, hot_limit=limit)) < 700
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(sizes) == 3000 and max(sizes) < 900
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_members_and_orphans(spark):

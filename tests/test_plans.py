@@ -1,5 +1,7 @@
 """Physical plans are the ones the operators are written for."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,7 @@ def test_large_reference_broadcasts_hot_keys_only(spark, lines):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in text
+    assert re.search(r"hashpartitioning\(_key_0#\w+, _spread#\w+", text)
 
 
 @pytest.mark.parametrize("name", sorted(n for n, c in all_cases().items() if c.sql and not n.startswith(("live_", "batch_", "csv_", "raw_"))))
