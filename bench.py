@@ -24,9 +24,9 @@ from fieldlake.operators.lookup import lookup
 from fieldlake.operators.models import build_model
 from fieldlake.operators.quality import dq_report, reconcile
 from fieldlake.plans import derive, reports
-from fieldlake.plans.estate import FACT_HARVEST, MODELS, SENSORS
+from fieldlake.plans.estate import BATCH_SOURCES, FACT_HARVEST, MODELS, SENSORS
 from fieldlake.session import build_session, scratch_folder
-from fieldlake.sources.batch import read_table, write_table
+from fieldlake.sources.batch import ingest_raw, read_table, write_table
 from fieldlake.sources.layout import Layout
 from fieldlake.streaming.live import drain, read_stream, silver_stream
 
@@ -50,7 +50,8 @@ def prepare(spark):
         write_table(clean(read_table(spark, layout.bronze(name)), contract, F.lit(RUN_TS)), layout.silver(name))
     for name, spec in MODELS.items():
         write_table(build_model(read_table(spark, layout.silver(spec.source)), spec), layout.gold(name))
-    deliver(read_table(spark, layout.bronze("sensors")), layout.landing("sensors"))
+    for name in CONTRACTS:
+        deliver(read_table(spark, layout.bronze(name)).select(*CONTRACTS[name].column_names), layout.landing(name))
     return layout
 
 
@@ -66,6 +67,11 @@ def queries(spark, layout):
         blocks = tables["blocks"].select(F.col("id").alias("_id"), "region_id")
         return lookup(df, blocks, {"block_id": "_id"}, {"region_id": derive.DEFAULT_REGION})
 
+    def ingest_all():
+        run = Layout(scratch_folder(spark, "raw"))
+        for name, contract in BATCH_SOURCES.items():
+            ingest_raw(spark, contract, layout.landing(name), run.bronze(name))
+
     def live():
         run = Layout(scratch_folder(spark, "live"))
         incoming = read_stream(spark, SENSORS, layout.landing("sensors"))
@@ -73,6 +79,7 @@ def queries(spark, layout):
         silver_stream(spark, SENSORS, run)
 
     return {
+        "ingest_all_sources": ingest_all,
         "dedupe_lines": lambda: consume(dedupe(lines, ["l_orderkey", "l_linenumber"])),
         "clean_harvest": lambda: consume(clean(bronze["harvest"], harvest)),
         "clean_finance": lambda: consume(clean(bronze["finance"], CONTRACTS["finance"])),

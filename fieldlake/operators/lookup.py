@@ -73,6 +73,7 @@ def lookup(
     take: Mapping[str, Any],
     order_by: Sequence[Column] = (),
     normalise: bool = False,
+    unique: bool = False,
     max_rows: int = BROADCAST_ROWS,
     hot_limit: int = HOT_KEYS,
 ) -> DataFrame:
@@ -80,7 +81,8 @@ def lookup(
 
     ``on`` maps fact columns to reference columns and ``take`` maps reference columns to their
     defaults. One reference row per key is used, the first by ``order_by``, so the fact never fans
-    out. ``normalise`` compares text keys upper-cased and trimmed. A reference measured to be small
+    out; ``unique`` says that there is only one, as in a dimension, and saves looking for it.
+    ``normalise`` compares text keys upper-cased and trimmed. A reference measured to be small
     is broadcast; a larger one is shuffled with the hot keys kept apart.
     """
     slots = {left: f"_key_{i}" for i, left in enumerate(on)}
@@ -88,10 +90,10 @@ def lookup(
     keyed = _keyed(fact, {slot: left for left, slot in slots.items()}, normalise)
     reference = _keyed(ref, {slots[left]: right for left, right in on.items()}, normalise).dropna(subset=keys)
     taken = {name: f"_take_{name}" for name in take}
-    if order_by:
+    if order_by and not unique:
         reference = dedupe(reference, keys, order_by)
     reference = reference.select(*keys, *[F.col(name).alias(slot) for name, slot in taken.items()])
-    if not order_by:
+    if not order_by and not unique:
         reference = dedupe(reference, keys)
     joined = _join_unique(keyed, reference, keys, max_rows, hot_limit)
     filled = {

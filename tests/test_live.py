@@ -85,6 +85,15 @@ def test_without_horizon_late_rows_are_kept(spark, layout):
     assert read_table(spark, layout.live_silver("sensors")).count() == 3
 
 
+def test_cleaned_table_by_day(spark, layout):
+    deliver(layout, "one", [reading("s", START), reading("s", START + dt.timedelta(days=1))])
+    bronze_stream(spark, SENSORS, layout, max_files=1)
+    assert silver_stream(spark, SENSORS, layout, by_day=True, max_files=1) == 2
+    table = read_table(spark, layout.live_silver("sensors"))
+    assert {str(r.reading_date) for r in table.collect()} == {"2024-01-01", "2024-01-02"}
+    assert table.where("reading_date = '2024-01-02'").count() == 1
+
+
 def test_failure_is_raised(spark, layout):
     deliver(layout, "one", [reading("s", START)])
     with open(layout.root + "/incoming/sensors/one.csv", "w", encoding="utf-8") as f:

@@ -59,6 +59,14 @@ def test_null_reference_value_takes_the_default(spark):
     assert lookup(fact, ref, {"k": "k"}, {"rain": 0.0}).first().rain == 0.0
 
 
+def test_unique_reference_is_not_searched(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    ref = spark.createDataFrame([("a", 5)], "k string, v int")
+    found = lookup(fact, ref, {"k": "k"}, {"v": 0}, unique=True, max_rows=0)
+    assert {r.id: r.v for r in found.collect()} == {1: 5, 2: 0}
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_keys_are_bounded(spark, skewed):
     fact, _ = skewed
     assert [r.k for r in hot_keys(fact, ["k"], 5).collect()] == ["hot"]
