@@ -59,7 +59,7 @@ def queries(spark, layout):
     bronze = {name: read_table(spark, layout.bronze(name)) for name in CONTRACTS}
     silver = {name: read_table(spark, layout.silver(name)) for name in CONTRACTS}
     gold = {name: read_table(spark, layout.gold(name)) for name in MODELS}
-    lines = load(spark, SF_DIR, "lineitem")
+    lines, orders, suppliers = (load(spark, SF_DIR, name) for name in ("lineitem", "orders", "supplier"))
     tables = master(spark, SF_DIR)
     harvest = CONTRACTS["harvest"]
 
@@ -91,10 +91,10 @@ def queries(spark, layout):
         "ledger": lambda: consume(derive.ledger(silver, tables)),
         "enrich_hourly": lambda: consume(derive.enrich_hourly(place(silver["equipment"]), silver["weather"])),
         "lookup_shuffled": lambda: consume(
-            lookup(lines, load(spark, SF_DIR, "orders"), {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, max_rows=0)
+            lookup(lines, orders, {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, unique=True, max_rows=0)
         ),
         "lookup_hot_keys": lambda: consume(
-            lookup(lines, load(spark, SF_DIR, "supplier"), {"l_suppkey": "s_suppkey"}, {"s_name": "?"}, max_rows=0)
+            lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "?"}, unique=True, max_rows=0)
         ),
         "active_attendance": lambda: consume(
             derive.active_attendance(silver["hr"], derive.active_workers(silver["harvest"], silver["equipment"]))

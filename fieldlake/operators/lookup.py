@@ -44,26 +44,32 @@ def _join_hot_apart(fact: DataFrame, ref: DataFrame, on: list[str], limit: int)
 
     Hot keys, of which there are at most ``limit``, get their reference row by broadcast. Their
     rows, and rows with a NULL key, then go through the shuffle spread evenly, as they look for
-    nothing there. All other rows join on the key.
+    nothing there. All other rows join on the key. Where there are no hot keys, that part is left
+    out of the plan.
     """
     taken = [name for name in ref.columns if name not in on]
-    hot = hot_keys(fact, on, limit).join(ref, list(on), "left")
-    hot = hot.select(*on, F.lit(True).alias("_hot"), F.struct(*taken).alias("_hot_values"))
-    nothing_to_find = F.col("_hot").isNotNull()
+    nothing_to_find = F.lit(False)
     for name in on:
         nothing_to_find = nothing_to_find | F.col(name).isNull()
     row = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in fact.columns])
+    hot = hot_keys(fact, on, limit)
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        values = [F.col(name).alias(f"_hot{name}") for name in taken]
+        hot = hot.join(ref, on, "left").select(*on, F.lit(True).alias("_hot"), *values)
+        fact = fact.join(F.broadcast(hot), on, "left")
+        nothing_to_find = nothing_to_find | F.col("_hot").isNotNull()
     spread = F.when(nothing_to_find, F.pmod(row, F.lit(1 << 30)) + 1).otherwise(F.lit(0).cast("bigint"))
-    marked = fact.join(F.broadcast(hot), list(on), "left").withColumn("_spread", spread)
     # A computed zero: a literal would be folded out of the join keys, and the rows not be spread.
     zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
-    cold = ref.select(*on, F.struct(*taken).alias("_values"), zero.alias("_spread"))
-    joined = marked.join(cold, [*on, "_spread"], "left")
-    found = F.coalesce(F.col("_hot_values"), F.col("_values"))
-    return joined.withColumn("_found", found).select(
-        *[F.col(name) for name in fact.columns],
-        *[F.col("_found")[name].alias(name) for name in taken],
-    )
+    joined = fact.withColumn("_spread", spread).join(ref.withColumn("_spread", zero), [*on, "_spread"], "left")
+    if any_hot:
+        known = F.col("_hot").isNotNull()
+        joined = joined.withColumns(
+            {name: F.when(known, F.col(f"_hot{name}")).otherwise(F.col(name)) for name in taken}
+        )
+    kept = [name for name in fact.columns if not name.startswith("_hot")]
+    return joined.select(*kept, *taken)
 
 
 def lookup(
@@ -90,12 +96,15 @@ def lookup(
     keyed = _keyed(fact, {slot: left for left, slot in slots.items()}, normalise)
     reference = _keyed(ref, {slots[left]: right for left, right in on.items()}, normalise).dropna(subset=keys)
     taken = {name: f"_take_{name}" for name in take}
+    picked = [*keys, *[F.col(name).alias(slot) for name, slot in taken.items()]]
+    small = is_small(reference.select(*picked), max_rows)
     if order_by and not unique:
         reference = dedupe(reference, keys, order_by)
-    reference = reference.select(*keys, *[F.col(name).alias(slot) for name, slot in taken.items()])
+    reference = reference.select(*picked)
     if not order_by and not unique:
         reference = dedupe(reference, keys)
-    joined = _join_unique(keyed, reference, keys, max_rows, hot_limit)
+    small = small or (not unique and is_small(reference, max_rows))
+    joined = _join_unique(keyed, reference, keys, small, hot_limit)
     filled = {
         name: F.col(slot) if take[name] is None else F.coalesce(F.col(slot), F.lit(take[name]))
         for name, slot in taken.items()
@@ -115,11 +124,9 @@ def _keyed(df: DataFrame, slots: Mapping[str, str], normalise: bool) -> DataFram
     )
 
 
-def _join_unique(
-    fact: DataFrame, ref: DataFrame, keys: list[str], max_rows: int, hot_limit: int
-) -> DataFrame:
-    """Left join on a reference with one row per key, by its measured size."""
-    if is_small(ref, max_rows):
+def _join_unique(fact: DataFrame, ref: DataFrame, keys: list[str], small: bool, hot_limit: int) -> DataFrame:
+    """Left join on a reference with one row per key, which may be known to be small."""
+    if small:
         return fact.join(F.broadcast(ref), keys, "left")
     return _join_hot_apart(fact, ref, keys, hot_limit)
 
@@ -136,8 +143,9 @@ def keep_members(
     slots = {f"_key_{i}": name for i, name in enumerate(on)}
     keys = list(slots)
     listed = _keyed(members.select(*on), slots, normalise).select(*keys).dropna().distinct()
+    small = is_small(listed, max_rows)
     listed = listed.withColumn("_member", F.lit(True))
-    found = _join_unique(_keyed(df, slots, normalise), listed, keys, max_rows, hot_limit)
+    found = _join_unique(_keyed(df, slots, normalise), listed, keys, small, hot_limit)
     return found.where(F.col("_member")).select(*df.columns)
 
 
