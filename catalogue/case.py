@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalogue.raw import raw_source
 from fieldlake.operators.cleaning import clean
@@ -34,26 +34,30 @@ def gold(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Dates and times as ISO text: engines and drivers print them differently."""
+    """Dates and times as ISO text and decimals as doubles: engines and drivers print them differently."""
     formats = {"date": "yyyy-MM-dd", "timestamp": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
-    return df.select(
-        *[
-            F.date_format(F.col(name), formats[kind]).alias(name) if kind in formats else F.col(name)
-            for name, kind in df.dtypes
-        ]
-    )
+
+    def show(name: str, kind: str) -> Column:
+        if kind in formats:
+            return F.date_format(F.col(name), formats[kind]).alias(name)
+        return F.col(name).cast("double").alias(name) if kind.startswith("decimal") else F.col(name)
+
+    return df.select(*[show(name, kind) for name, kind in df.dtypes])
 
 
-def shown_sql(sql: str, dates: tuple[str, ...] = (), times: tuple[str, ...] = ()) -> str:
+def shown_sql(
+    sql: str, dates: tuple[str, ...] = (), times: tuple[str, ...] = (), decimals: tuple[str, ...] = ()
+) -> str:
     """The same for SQL."""
     parts = [f"strftime(\"{name}\", '%Y-%m-%d') as \"{name}\"" for name in dates]
     parts += [f"strftime(\"{name}\", '%Y-%m-%d %H:%M:%S.%f') as \"{name}\"" for name in times]
+    parts += [f'cast("{name}" as double) as "{name}"' for name in decimals]
     return f"select * replace ({', '.join(parts)}) from ({sql})" if parts else sql
 
 
-def case(run: Callable[[SparkSession, str], DataFrame], sql: str | None = None, **temporal) -> Case:
-    """A case whose times are shown as text on both sides."""
+def case(run: Callable[[SparkSession, str], DataFrame], sql: str | None = None, **shapes) -> Case:
+    """A case whose times and decimals are shown the same way on both sides."""
     return Case(
         lambda spark, sf_dir: shown(run(use_utc(spark), sf_dir)),
-        None if sql is None else shown_sql(sql, **temporal),
+        None if sql is None else shown_sql(sql, **shapes),
     )

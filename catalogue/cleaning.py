@@ -168,8 +168,13 @@ def _typed(model):
     contract = SERVING[model]
     dates = tuple(name for name, kind in contract.columns.items() if kind == "date")
     times = tuple(name for name, kind in contract.columns.items() if kind == "datetime2")
+    decimals = tuple(name for name, kind in contract.columns.items() if kind.startswith("decimal"))
     return case(
-        lambda spark, sf: apply_contract(gold(spark, sf, model), contract), model_sql(model), dates=dates, times=times
+        lambda spark, sf: apply_contract(gold(spark, sf, model), contract),
+        model_sql(model),
+        dates=dates,
+        times=times,
+        decimals=decimals,
     )
 
 
@@ -209,6 +214,7 @@ def cases():
             f"""select harvest_id, {num('harvested_weight_kg')} as kg,
                 {num('harvested_weight_kg', 'decimal(18,2)')} as kg_exact,
                 {num('collection_duration_minutes', 'int')} as minutes from ({raw_sql('harvest')})""",
+            decimals=("kg_exact",),
         ),
         "parsed_flags": case(
             parsed_flags,
@@ -271,6 +277,7 @@ def cases():
         "positive_amounts": case(
             lambda spark, sf: silver(spark, sf, "finance").where(F.col("amount") > 0).select("document_id", "amount"),
             f"select document_id, amount from ({silver_sql('finance')}) where amount > 0",
+            decimals=("amount",),
         ),
         "calendar_columns": case(
             calendar,
@@ -297,6 +304,7 @@ def cases():
             silver_sql(source),
             times=TIMES[source],
             dates=DATES.get(source, ()),
+            decimals=("amount",) if source == "finance" else (),
         )
         found[f"lost_values_{source}"] = losses(source)
         if CONTRACTS[source].ranges:

@@ -323,7 +323,7 @@ BALANCE_SQL = f"""select *, debit_lines = 1 and credit_lines = 1 and lines = 2 a
 def _rule(build, events_sql):
     sql = "select * replace (cast(amount as decimal(38,8)) as amount) from "
     parts = " union all ".join(f"{sql}({part})" for part in events_sql.split(" union all "))
-    return case(build, _with(**LEDGER_PARTS) + parts, times=("posting_timestamp",))
+    return case(build, _with(**LEDGER_PARTS) + parts, times=("posting_timestamp",), decimals=("amount",))
 
 
 def _labor(spark, sf):
@@ -425,16 +425,24 @@ def cases():
                 for part in FLEET_SQL.split(" union all ")
             ),
             times=("posting_timestamp",),
+            decimals=("amount",),
         ),
         "postings_wages": _rule(lambda spark, sf: wages(silver(spark, sf, "hr")), WAGES_SQL),
         "ledger_lines": case(
-            whole_ledger, LEDGER_SQL, dates=("posting_date",), times=("posting_timestamp",)
+            whole_ledger,
+            LEDGER_SQL,
+            dates=("posting_date",),
+            times=("posting_timestamp",),
+            decimals=("amount",),
         ),
         "ledger_unbalanced": case(
             lambda spark, sf: unbalanced_documents(whole_ledger(spark, sf)),
             "select * from (" + BALANCE_SQL.replace(silver_sql("finance"), LEDGER_SQL) + ") where not balanced",
+            decimals=("debit", "credit"),
         ),
         "document_balances": case(
-            lambda spark, sf: document_balances(silver(spark, sf, "finance")), BALANCE_SQL
+            lambda spark, sf: document_balances(silver(spark, sf, "finance")),
+            BALANCE_SQL,
+            decimals=("debit", "credit"),
         ),
     }

@@ -19,7 +19,7 @@ AS_OF = date(2024, 2, 20)
 
 MODEL_TIMES = {
     "fact_harvest": {"dates": ("harvest_date",), "times": ("harvest_timestamp",)},
-    "fact_revenue": {"dates": ("posting_date",)},
+    "fact_revenue": {"dates": ("posting_date",), "decimals": ("amount",)},
     "fact_fertilizer": {"dates": ("application_date",), "times": ("application_timestamp",)},
     "fact_equipment": {"dates": ("operation_date",), "times": ("operation_timestamp",)},
 }
@@ -197,6 +197,7 @@ def cases():
                 ["order_id", "line_number", "ship_date", "part_id", "supplier_id", "quantity", "price", "flag"],
             ),
             dates=("ship_date",),
+            decimals=("price",),
         ),
         "dq_report_lines": case(
             lambda spark, sf: dq_report(load(spark, sf, "lineitem"), LINES, as_of=AS_OF), LINES_SQL

@@ -33,7 +33,7 @@ def _top(sql, value, key):
 
 
 KG, QTY = _sum("harvested_weight_kg", "kg"), _sum("quantity_kg", "kg")
-AMOUNT = "sum(amount) as amount"
+AMOUNT = "cast(sum(amount) as double) as amount"
 MINUTES = "cast(sum(duration_minutes) as bigint) as minutes"
 WORKFORCE = f"select role, department, cost_center_id, count(*) as people from ({PEOPLE}) group by all"
 STATUS = f"""select block_id, sensor_id, max("timestamp") as last_reading_ts, count(*) as reading_count,
@@ -83,7 +83,7 @@ def cases():
         ),
         "overview": case(
             _overview,
-            f"""select count(*) as operations, {KG}, (select sum(amount) from ({REVENUE})) as amount,
+            f"""select count(*) as operations, {KG}, (select cast(sum(amount) as double) from ({REVENUE})) as amount,
                 (select count(*) from ({FLEET})) as machines, (select count(*) from ({PEOPLE})) as people
                 from ({HARVEST})""",
         ),
@@ -111,8 +111,10 @@ def cases():
         ),
         "ledger_kpis": case(
             _on("fact_revenue", r.ledger_kpis),
-            f"""select sum(amount) as gross, sum(amount) filter (where debit_credit_indicator = 'S') as debit,
-                sum(amount) filter (where debit_credit_indicator = 'H') as credit, count(*) as lines,
+            f"""select cast(sum(amount) as double) as gross,
+                cast(sum(amount) filter (where debit_credit_indicator = 'S') as double) as debit,
+                cast(sum(amount) filter (where debit_credit_indicator = 'H') as double) as credit,
+                count(*) as lines,
                 count(*) filter (where debit_credit_indicator = 'S') as debit_lines,
                 count(*) filter (where debit_credit_indicator = 'H') as credit_lines,
                 count(distinct transaction_type) as categories,

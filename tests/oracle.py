@@ -22,12 +22,10 @@ def connect(sf_dir):
 
 
 def _plain(value):
-    if isinstance(value, Decimal):
-        return ("decimal", str(value.normalize()))
     if isinstance(value, float):
         return ("double", repr(value))
-    if isinstance(value, (datetime.date, datetime.datetime)):
-        raise TypeError("show dates and times as text")
+    if isinstance(value, (datetime.date, datetime.datetime, Decimal)):
+        raise TypeError("show times as text and decimals as doubles")
     return value
 
 
@@ -36,12 +34,16 @@ def rows_of(names, rows):
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+SPARK_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def compare(df, con, sql):
     """None if both agree, else what differs."""
     cursor = con.execute(sql)
     names = [column[0] for column in cursor.description]
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    kinds = {column[0]: SPARK_TYPES.get(str(column[1]), str(column[1])) for column in cursor.description}
+    if kinds != dict(df.dtypes):
+        return f"columns {df.dtypes} against {kinds}"
     wanted = rows_of(names, cursor.fetchall())
     found = rows_of(df.columns, df.collect())
     if wanted == found:
