@@ -257,15 +257,15 @@ def cases():
         ),
         "orphan_summary": case(
             lambda spark, sf: orphan_summary(
-                silver(spark, sf, "equipment"), silver(spark, sf, "hr"), {"operator_id": "employee_id"}
+                silver(spark, sf, "harvest"), silver(spark, sf, "fertilizer"), {"crop_type": "crop_type"}
             ),
-            f"""with child as ({silver_sql('equipment')}), parent as ({silver_sql('hr')})
+            f"""with child as ({silver_sql('harvest')}), parent as ({silver_sql('fertilizer')})
                 select count(*) as child_rows,
-                count(*) filter (where operator_id is not null and not known) as orphan_rows,
-                count(distinct operator_id) filter (where operator_id is not null and not known) as orphan_keys,
-                count(*) filter (where operator_id is null) as null_key_rows
-                from (select operator_id, operator_id in (select employee_id from parent
-                      where employee_id is not null) as known from child)""",
+                count(*) filter (where crop_type is not null and not known) as orphan_rows,
+                count(distinct crop_type) filter (where crop_type is not null and not known) as orphan_keys,
+                count(*) filter (where crop_type is null) as null_key_rows
+                from (select crop_type, crop_type in (select crop_type from parent
+                      where crop_type is not null) as known from child)""",
         ),
     }
     for model in MODELS:
