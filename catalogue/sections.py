@@ -20,7 +20,7 @@ def _live(report, *arguments, **options):
 
 
 def _sum(column, name):
-    return f"round(sum({column}), 4) as {name}"
+    return f"cast(sum(cast({column} as decimal(28,4))) as double) as {name}"
 
 
 def _group(table, by, listed, keep_null=False):

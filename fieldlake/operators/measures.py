@@ -24,15 +24,20 @@ def is_not(column: str, *values: Any) -> Column:
     return keep
 
 
+def exact_sum(column: Column) -> Column:
+    """A sum of doubles that does not depend on the order of rows: they are added as decimals with
+    4 places, more than the measures have. Values that are no numbers are left out."""
+    return F.sum(column.try_cast("decimal(28,4)"))
+
+
 def _sum_of(df: DataFrame, measure: str) -> Column:
-    kind = dict(df.dtypes)[measure]
-    summed = F.sum(F.col(measure))
-    return F.round(summed, 4) if kind in ("double", "float") else summed
+    if dict(df.dtypes)[measure] in ("double", "float"):
+        return exact_sum(F.col(measure)).cast("double")
+    return F.sum(F.col(measure))
 
 
 def sums(df: DataFrame, measures: Mapping[str, str]) -> dict[str, Column]:
-    """Sum expressions by output name; double sums are rounded to 4 decimals, where the order of
-    addition no longer shows."""
+    """Sum expressions by output name; doubles are added exactly."""
     return {out: _sum_of(df, measure).alias(out) for out, measure in measures.items()}
 
 

@@ -17,6 +17,7 @@ from fieldlake.operators.measures import (
     breakdown,
     count_by,
     distinct_values,
+    exact_sum,
     filter_in,
     largest_first,
     sums,
@@ -173,16 +174,16 @@ def ledger_top_accounts(ledger: DataFrame, n: int = 10) -> DataFrame:
 def fertilizer_kpis(fertilizer: DataFrame) -> DataFrame:
     """One row; the facts are first reduced to one row per material and block."""
     groups = fertilizer.groupBy("material_id", "block_id").agg(
-        F.sum("quantity_kg").alias("kg"),
+        exact_sum(F.col("quantity_kg")).alias("kg"),
         F.count("quantity_kg").alias("weighed"),
         _rows("applications"),
     )
     return groups.agg(
-        F.round(F.sum("kg"), 4).alias("kg"),
+        F.sum("kg").cast("double").alias("kg"),
         F.sum("applications").alias("applications"),
         F.count_distinct("material_id").alias("materials"),
         F.count_distinct("block_id").alias("blocks"),
-        F.round(F.try_divide(F.sum("kg"), F.sum("weighed")), 6).alias("avg_kg"),
+        F.round(F.try_divide(F.sum("kg").cast("double"), F.sum("weighed")), 6).alias("avg_kg"),
     )
 
 
