@@ -11,34 +11,46 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Bytes compared at once before ranks are doubled.
-PACK = 7
+#: Bytes compared at once before ranks are doubled, and the bits left beside them for a string's number.
+PACK = 5
+TIE_BITS = 64 - 9 * PACK
 
 
 def suffix_ranks(symbols: np.ndarray, owner: np.ndarray, to_end: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """The suffix array, and the ranks by the first 7, 14, 28... symbols that it was made from."""
+    """The suffix array, and the ranks by the first 5, 10, 20... symbols that it was made from.
+
+    A rank is the place of the first suffix of its kind; only suffixes that are not yet alone are
+    sorted again.
+    """
     n = len(symbols)
+    if owner[-1] >= 1 << TIE_BITS:
+        raise ValueError(f"an index holds at most {1 << TIE_BITS} strings")
     padded = np.concatenate([symbols, np.zeros(PACK, symbols.dtype)])
     key = np.zeros(n, np.uint64)
     for i in range(PACK):  # beyond the closing sign nothing counts
         inside = np.where(to_end >= i, padded[i : i + n], 0)
         key = (key << np.uint64(9)) | inside.astype(np.uint64)
-    tie = np.where(to_end < PACK, owner, 0)
-    order = np.lexsort((tie, key))
+    key = (key << np.uint64(TIE_BITS)) | np.where(to_end < PACK, owner, 0).astype(np.uint64)
+    order = np.argsort(key)
+    sorted_key = key[order]
     new = np.ones(n, bool)
-    new[1:] = (key[order[1:]] != key[order[:-1]]) | (tie[order[1:]] != tie[order[:-1]])
+    new[1:] = sorted_key[1:] != sorted_key[:-1]
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new) - 1
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     levels, width = [(PACK, rank.astype(np.int32))], PACK
-    while rank[order[-1]] < n - 1:
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - width)] = rank[width:]
-        pair = rank * n + ahead
-        order = np.argsort(pair)
-        new[1:] = pair[order[1:]] != pair[order[:-1]]
-        rank[order] = np.cumsum(new) - 1
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+    while slots.size:
+        suffixes = order[slots]
+        pair = rank[suffixes] * n + rank[suffixes + width]
+        by = np.argsort(pair)
+        pair, suffixes = pair[by], suffixes[by]
+        order[slots] = suffixes
+        new = np.ones(len(slots), bool)
+        new[1:] = pair[1:] != pair[:-1]
+        rank[suffixes] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
         width *= 2
         levels.append((width, rank.astype(np.int32)))
+        slots = slots[~(new & np.append(new[1:], True))]
     return order, levels
 
 
@@ -64,7 +76,7 @@ class RunIndex:
     def __init__(self, strings: list[bytes]):
         lengths = np.array([len(x) for x in strings], np.int64)
         raw = np.frombuffer(b"\x00".join(strings) + b"\x00", np.uint8)
-        self.ends = np.cumsum(lengths + 1) - 1
+        self.ends = np.cumsum(lengths + 1) - 1  # where the closing signs stand
         self.starts = self.ends - lengths
         owner = np.repeat(np.arange(len(strings)), lengths + 1)
         at = np.arange(len(raw))
@@ -75,27 +87,23 @@ class RunIndex:
         before = symbols[order - 1].astype(np.int64)  # the transform; closing signs all differ
         closed = before == 0
         before[closed] = -1 - order[closed]
-        ends_run = np.ones(len(order) + 1, bool)
-        ends_run[1:-1] = before[1:] != before[:-1]
-        self.runs = int(ends_run[:-1].sum())
-        self.matches = np.maximum(
-            self._streamed(order, np.flatnonzero(ends_run[1:-1]) + 1, -1, order[0], levels, symbols),
-            self._streamed(order, np.flatnonzero(ends_run[1:-1]), 1, order[-1], levels, symbols),
-        )
-        del levels
-
-    def _streamed(self, order, sampled, side, alone, levels, symbols) -> np.ndarray:
+        ends = np.flatnonzero(before[1:] != before[:-1])  # suffixes that end a run; the next begins one
+        self.runs = len(ends) + 1
+        low, high = order[ends], order[ends + 1]
+        common = _common(high, low, levels, symbols)
+        self.matches = np.maximum(self._streamed(high, common, order[0]), self._streamed(low, common, order[-1]))
+
+    def _streamed(self, sampled: np.ndarray, common: np.ndarray, alone: int) -> np.ndarray:
         """Matches with the neighbour on one side: measured at the sampled run ends, then streamed.
 
         ``alone`` is the suffix without a neighbour on that side.
         """
-        here = order[sampled]
-        held = np.zeros(len(order), np.int64)
-        mark = np.zeros(len(order), bool)
-        held[here] = _common(here, order[sampled + side], levels, symbols)
-        mark[here] = mark[0] = mark[alone] = True
-        last = np.maximum.accumulate(np.where(mark, np.arange(len(order)), 0))
-        return np.maximum(held[last] - (np.arange(len(order)) - last), 0)
+        n = len(self.to_end)
+        held, mark = np.zeros(n, np.int64), np.zeros(n, bool)
+        held[sampled] = common
+        mark[sampled] = mark[0] = mark[alone] = True
+        last = np.maximum.accumulate(np.where(mark, np.arange(n), 0))
+        return np.maximum(held[last] - (np.arange(n) - last), 0)
 
     def long_matches(self, length: int) -> list[list[tuple[int, int]]]:
         """For each string the maximal stretches covered by matches of ``length`` that lie inside it."""
