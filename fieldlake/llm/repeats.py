@@ -17,21 +17,33 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_segments(found: DataFrame, label: str) -> DataFrame:
-    """One row per different segment under an anchor that occurs at least twice.
+def repeated_segments(found: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The segments under anchors that occur at least twice, and one row per different one of them.
 
-    ``h, sh, n, anchor, times, first, kinds, size``: ``times`` it occurs, ``first`` (key, start) in
-    order, how many ``kinds`` its anchor has and how many symbols they have together. Equal segments
-    are counted before they are shuffled, so thousands of copies of a text travel as one.
+    The latter holds ``h, sh, n, anchor, times, first, kinds, size``: ``times`` it occurs, ``first``
+    (key, start) in order, how many ``kinds`` its anchor has and how many symbols they have together.
+    Anchors and equal segments are counted where they lie before they are shuffled, so thousands of
+    copies of a text travel as one; the counts are written, so that a hot anchor's side can be split.
     """
-    kinds = found.groupBy("h", "sh", "n").agg(
-        F.count("*").alias("times"), F.min(F.struct("key", "start")).alias("first"), F.min("anchor").alias("anchor")
+    anchors = saved(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), label)
+    shared = saved(found.join(anchors, "h", "left_semi"), label)
+    kinds = saved(
+        shared.groupBy("h", "sh").agg(
+            F.count("*").alias("times"), F.min("n").alias("n"), F.min("anchor").alias("anchor"),
+            F.min(F.struct("doc_id", "text_hash", "start")).alias("first"),
+        ),
+        label,
     )
-    kinds = saved(kinds, label)
-    anchors = kinds.groupBy("h").agg(
-        F.sum("times").alias("all"), F.count("*").alias("kinds"), F.sum("n").alias("size")
-    ).where("all > 1").drop("all")
-    return kinds.join(anchors, "h")
+    each = saved(kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("n").alias("size")), label)
+    looked = kinds.join(each, "h").select(
+        "h", "sh", "n", "anchor", "times", "kinds", "size",
+        F.struct(
+            F.struct("first.doc_id", "first.text_hash").alias("key"), F.col("first.start").alias("start")
+        ).alias("first"),
+    )
+    return shared.select(
+        F.struct("doc_id", "text_hash").alias("key"), "h", "sh", "start", "n"
+    ), saved(looked, label)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

@@ -222,13 +222,11 @@ def _crowded(rows: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """``key, from, to``: stretches of words of ``keyed`` documents that earlier places have too; they may overlap."""
-    found = saved(
-        docs.select("key.doc_id", "key.text_hash", F.col("text").cast("binary").alias("data")).mapInArrow(
-            _finder(length, gram), "doc_id long, text_hash long, h long, sh long, start int, n int, anchor int"
-        ),
-        "seeds",
-    ).select(F.struct("doc_id", "text_hash").alias("key"), "h", "sh", "start", "n", "anchor")
-    looked = saved(repeated_segments(found, "seeds"), "seeds")
+    # the seeds are found twice: once to be counted, once for those that count; a table of all would cost more
+    found = docs.select("key.doc_id", "key.text_hash", F.col("text").cast("binary").alias("data")).mapInArrow(
+        _finder(length, gram), "doc_id long, text_hash long, h long, sh long, start int, n int, anchor int"
+    )
+    shared, looked = repeated_segments(found, "seeds")
     mixed = looked.where("kinds > 1")
     wanted = mixed.groupBy("first.key").agg(
         F.collect_list(F.struct("first.start", "n", "h", "sh", "anchor", "kinds")).alias("wanted")
@@ -259,12 +257,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     ).applyInPandas(_extender(length, gram), "h long, sh long, n int, from int, to int")
     if (most or 0) > crowd:
         marks = marks.unionByName(_crowded(places.where(F.col("kinds") > crowd).dropDuplicates(["h", "sh", "n"]), length))
-    marks = marks.groupBy("h", "sh", "n").agg(F.collect_set(F.struct("from", "to")).alias("own"))
-    guide = looked.where("times > 1 or kinds > 1").select("h", "sh", "n", "first").join(marks, ["h", "sh", "n"], "left")
+    marks = marks.groupBy("h", "sh").agg(F.collect_set(F.struct("from", "to")).alias("own"))
+    guide = saved(
+        looked.where("times > 1 or kinds > 1").select("h", "sh", "first").join(marks, ["h", "sh"], "left"), "spans"
+    )
     whole = F.array(F.struct(F.lit(0).alias("from"), F.col("n").alias("to")))
     place = F.struct("key", "start")
     return (
-        found.join(guide, ["h", "sh", "n"])
+        shared.join(guide, ["h", "sh"])
         .select("key", "start", F.explode(F.when(F.col("first") == place, F.col("own")).otherwise(whole)).alias("s"))
         .select("key", (F.col("start") + F.col("s.from")).alias("from"), (F.col("start") + F.col("s.to")).alias("to"))
     )

@@ -132,8 +132,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
             _finder(length, gram), "doc_id long, text_hash long, h long, sh long, start int, n int, anchor int"
         ),
         "segments",
-    ).select(F.struct("doc_id", "text_hash").alias("key"), "h", "sh", "start", "n", "anchor")
-    looked = saved(repeated_segments(found, "segments"), "segments")
+    )
+    shared, looked = repeated_segments(found, "segments")
     wanted = looked.groupBy("first.key").agg(
         F.collect_list(F.struct("first.start", "h", "sh", "n", "times", "anchor")).alias("wanted")
     )
@@ -169,8 +169,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
             break
         hot = strings.join(sizes.where(F.col("bytes") > hot_bytes).select("group"), "group").select(strings.columns)
         strings = saved(hot.mapInPandas(_dealer(length, block), STRING), "strings")
-    spans = marks.groupBy("h", "sh", "n").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
-    return found.join(spans, ["h", "sh", "n"]).select("key", "start", F.explode("spans").alias("s")).select(
+    spans = saved(marks.groupBy("h", "sh").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "spans")
+    return shared.join(spans, ["h", "sh"]).select("key", "start", F.explode("spans").alias("s")).select(
         "key", (F.col("start") + F.col("s.from")).alias("from"), (F.col("start") + F.col("s.to")).alias("to")
     )
 
