@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fieldlake.llm.common import saved
 
+#: Bytes of text that a task turns into symbols at once.
+SLICE = 4 << 20
+
 def merged(spans) -> list[tuple[int, int]]:
     """Spans in order, those that overlap or touch as one."""
     out: list[tuple[int, int]] = []
@@ -46,6 +54,18 @@ def repeated_segments(found: DataFrame, label: str) -> tuple[DataFrame, DataFram
     ), saved(looked, label)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``size`` bytes in a column, so that what a task makes of them stays small."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` with the key under which all rows of one id and text are found."""
     return docs.withColumn("key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")))

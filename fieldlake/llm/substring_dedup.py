@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fieldlake.llm.common import parts_for, saved, texts
-from fieldlake.llm.repeats import keyed, merged, repeated_segments
+from fieldlake.llm.repeats import keyed, merged, repeated_segments, slices
 from fieldlake.llm.runindex import covered
 from fieldlake.llm.seeds import Spans, chunks, mix64, odd_powers, segments
 
@@ -102,7 +103,7 @@ def word_codes(data: list[bytes]) -> list[np.ndarray]:
 
 def _finder(length: int, gram: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "data")):
             words = word_codes(batch.column("data").to_pylist())
             for held in chunks([len(x) for x in words], length):
                 codes = np.concatenate([words[k][a:b] for k, a, b in held])
@@ -123,6 +124,23 @@ def _finder(length: int, gram: int):
     return find
 
 
+def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the wanted segments of each text, one row per segment."""
+    for batch in (part for whole in batches for part in slices(whole, "data")):
+        wanted = batch.column("wanted")
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(wanted).to_numpy())
+        fields = dict(zip([f.name for f in wanted.type.value_type], wanted.flatten().flatten(), strict=True))
+        codes = word_codes(batch.column("data").to_pylist())
+        at, n = fields["start"].to_numpy(), fields["n"].to_numpy()
+        ids = batch.column("doc_id").take(pa.array(row))
+        yield pa.RecordBatch.from_pydict({
+            **{k: fields[k] for k in ("h", "sh", "n", "anchor", "kinds")},
+            "words": pa.array([codes[k][a : a + b].tobytes() for k, a, b in zip(row, at, n, strict=True)], pa.binary()),
+            "known": pc.cast(ids.is_valid(), pa.int32()), "id": pc.fill_null(ids, 0),
+            "text_hash": batch.column("text_hash").take(pa.array(row)), "at": fields["start"],
+        })
+
+
 def _classes(parent: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Classes of equal (parent class, next word)."""
     order = np.lexsort((word, parent))
@@ -232,22 +250,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
         F.collect_list(F.struct("first.start", "n", "h", "sh", "anchor", "kinds")).alias("wanted")
     )
 
-    @F.pandas_udf("array<binary>")
-    def cut(data: pd.Series, starts: pd.Series, sizes: pd.Series) -> pd.Series:
-        out = []
-        for codes, s, n in zip(word_codes(data.tolist()), starts, sizes, strict=True):
-            out.append([codes[a : a + b].tobytes() for a, b in zip(s, n, strict=True)])
-        return pd.Series(out)
-
-    pieces = docs.select("key", F.col("text").cast("binary").alias("data")).join(wanted, "key").select(
-        "key", "wanted", cut("data", "wanted.start", "wanted.n").alias("words")
-    ).select("key", F.explode(F.arrays_zip("wanted", "words")).alias("p"))
+    pieces = docs.select("key", F.col("text").cast("binary").alias("data")).join(wanted, "key")
     places = saved(
-        pieces.select(
-            "p.wanted.h", "p.wanted.sh", "p.wanted.n", "p.wanted.anchor", "p.wanted.kinds", "p.words",
-            F.col("key.doc_id").isNotNull().cast("int").alias("known"),
-            F.coalesce("key.doc_id", F.lit(0)).cast("long").alias("id"), "key.text_hash",
-            F.col("p.wanted.start").alias("at"),
+        pieces.select("key.doc_id", "key.text_hash", "data", "wanted").mapInArrow(
+            _cutter, "h long, sh long, n int, anchor int, kinds long, words binary, known int, id long, text_hash long, at int"
         ),
         "places",
     )

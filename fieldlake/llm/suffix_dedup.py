@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake.llm.common import parts_for, saved, texts
-from fieldlake.llm.repeats import keyed, merged, repeated_segments
+from fieldlake.llm.repeats import keyed, merged, repeated_segments, slices
 from fieldlake.llm.runindex import RunIndex
 from fieldlake.llm.seeds import Spans, chunks, segments
 
@@ -45,7 +45,7 @@ _FOUND = pa.schema([
 
 def _finder(length: int, gram: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "data")):
             data = batch.column("data").to_pylist()
             for held in chunks([len(x) for x in data], length):
                 raw = np.frombuffer(b"".join([data[k][a:b] for k, a, b in held]), np.uint8)
