@@ -122,34 +122,26 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, id_col: str
 
 
 def next_documents(keys: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n_chars, next_id, next_hash`` in ascending order, the first after the last.
+    """``keys`` with ``after``, the next key in ascending order, the first after the last.
 
-    Ids are cut into ranges of about equal counts; the last document of a range is followed by the
-    first of the next one that has any, and of those there are as many as ranges.
+    A key is an id and the hash of a text. Ids are cut into ranges of about equal counts; the last
+    document of a range is followed by the first of the next range that has any, and of those there
+    are as many as ranges.
     """
-    spark = keys.sparkSession
     cuts = keys.agg(
-        F.percentile_approx("doc_id", [i / RANGES for i in range(1, RANGES)], 10_000).alias("c")
+        F.percentile_approx("key.doc_id", [i / RANGES for i in range(1, RANGES)], 10_000).alias("c")
     ).first()["c"]
     cuts = sorted(set(cuts or []))
-    spot = F.struct("doc_id", "text_hash")
-    ranged = keys.withColumn(
-        "range",
-        F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))), F.lit(-1))
-        if cuts else F.lit(0),
-    )
-    order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text_hash")
-    inner = ranged.withColumn("after", F.lead(spot).over(order))
-    firsts = inner.groupBy("range").agg(F.min(spot).alias("first"))
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("key.doc_id"))) if cuts else F.lit(0)
+    ranged = keys.withColumn("range", F.when(F.col("key.doc_id").isNull(), -1).otherwise(below))
+    inner = ranged.withColumn("after", F.lead("key").over(Window.partitionBy("range").orderBy("key")))
+    firsts = inner.groupBy("range").agg(F.min("key").alias("first"))
     every = Window.orderBy("range")
-    firsts = firsts.withColumn(
-        "follow", F.coalesce(F.lead("first").over(every), F.first("first").over(every))
-    ).select("range", "follow")
-    return inner.join(F.broadcast(firsts), "range").select(
-        "doc_id", "text_hash", "n_chars", "times", F.coalesce("after", "follow").alias("after")
-    ).select(
-        "doc_id", "text_hash", "n_chars", "times",
-        F.col("after.doc_id").alias("next_id"), F.col("after.text_hash").alias("next_hash"),
+    firsts = firsts.withColumn("follow", F.lead("first").over(every)).withColumn(
+        "follow", F.coalesce("follow", F.first("first").over(every))
+    )
+    return inner.join(F.broadcast(firsts.select("range", "follow")), "range").select(
+        *keys.columns, F.coalesce("after", "follow").alias("after")
     )
 
 
@@ -159,26 +151,24 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The edit
     puts the first ``floor(n_chars / 4)`` characters of the next document for the last as many.
     """
-    rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    keys = rows.groupBy("doc_id", "text_hash").agg(
+    rows = texts(docs, id_col, text_col).select(
+        F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("key"), "text"
+    )
+    keys = rows.groupBy("key").agg(
         F.max(F.char_length("text")).cast("long").alias("n_chars"), F.count("*").alias("times")
     )
     order = saved(next_documents(saved(keys, "order")), "order")
     before = order.select(
-        F.col("next_id").alias("id"), F.col("next_hash").alias("hash"),
-        F.col("doc_id").alias("to_id"), F.col("text_hash").alias("to_hash"),
-        F.floor(F.col("n_chars") / 4).cast("int").alias("lent"),
+        F.col("after").alias("key"), F.col("key").alias("to"), F.floor(F.col("n_chars") / 4).cast("int").alias("lent")
     )
-    one = Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(0))
+    # a struct is a key that is never null; texts are shuffled by it once and read from there for both joins
+    one = Window.partitionBy("key").orderBy(F.lit(0))
     single = rows.withColumn("copy", F.row_number().over(one)).where("copy = 1").drop("copy")
-    at = lambda x, i, h: x.doc_id.eqNullSafe(i) & (x.text_hash == h)
-    lent = with_spots(single.join(before, at(single, before.id, before.hash)), F.col("text"), "next_spots").select(
-        "to_id", "to_hash", F.expr("left(text, lent)").alias("borrowed"), "next_spots"
+    lent = with_spots(single.join(before, "key"), F.col("text"), "next_spots").select(
+        F.col("to").alias("key"), F.expr("left(text, lent)").alias("borrowed"), "next_spots"
     )
-    lines = order.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_chars", "times")
-    whole = single.join(lent, at(single, lent.to_id, lent.to_hash)).join(lines, at(single, lines.id, lines.hash))
-    whole = whole.select(
-        "doc_id", "n_chars", "times", "text", "next_spots",
+    whole = single.join(lent, "key").join(order.drop("after"), "key").select(
+        F.col("key.doc_id").alias("doc_id"), "n_chars", "times", "text", "next_spots",
         F.concat(F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), "borrowed").alias("edited"),
     )
     found = with_spots(with_spots(whole, F.col("text"), "own"), F.col("edited"), "changed")
