@@ -151,9 +151,9 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The edit
     puts the first ``floor(n_chars / 4)`` characters of the next document for the last as many.
     """
-    rows = texts(docs, id_col, text_col).select(
-        F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("key"), "text"
-    )
+    # of the type that a table gives back, so that no join casts it and shuffles the texts again
+    key = F.struct("doc_id", F.xxhash64("text").alias("text_hash")).cast("struct<doc_id:bigint,text_hash:bigint>")
+    rows = texts(docs, id_col, text_col).select(key.alias("key"), "text")
     keys = rows.groupBy("key").agg(
         F.max(F.char_length("text")).cast("long").alias("n_chars"), F.count("*").alias("times")
     )
