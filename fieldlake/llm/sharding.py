@@ -28,7 +28,9 @@ def ring(spark, shards: int, virtual_nodes: int, cells: int, seed: int) -> DataF
     """``cell, route``: for each cell the shards in the order their virtual nodes come, clockwise."""
     nodes = spark.range(shards * virtual_nodes).select(
         (F.col("id") % shards).cast("int").alias("shard"),
-        F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(cells)).cast("int").alias("cell"),
+        F.floor(F.col("id") / shards).alias("replica"),
+    ).select(  # from the shard and its own count alone, so that a further shard leaves the others' nodes in place
+        "shard", F.pmod(F.xxhash64(F.lit(seed), "shard", "replica"), F.lit(cells)).cast("int").alias("cell")
     ).distinct().withColumn("node", F.col("cell"))
     grid = spark.range(shards * cells).select(
         (F.col("id") % shards).cast("int").alias("shard"), F.floor(F.col("id") / shards).cast("int").alias("cell")
