@@ -1,7 +1,7 @@
 """Line dedup by site: lines that over a given share of a host's pages hold are boilerplate and go.
 
 Defined results: lines are compared trimmed of blanks, tabs and carriage returns; blank lines are
-never counted nor dropped; a null text stays null and counts as a page without lines; a null host is a
+never counted nor dropped; a line of a single page is never boilerplate; a null text stays null and counts as a page without lines; a null host is a
 host of its own; a host of fewer than ``min_pages`` pages loses nothing; repeated rows are pages of
 their own; a page may be left with an empty text, but stays; all columns pass through, whatever their names.
 """
@@ -41,7 +41,9 @@ def boilerplate(
         .groupBy("host", "line").agg(F.count("*").alias("n"))
     )
     at = totals.select(F.col("host").alias("site"), "pages")
-    common = counts.join(at, counts.host.eqNullSafe(at.site)).where(F.col("n") > F.lit(max_ratio) * F.col("pages"))
+    common = counts.where("n > 1").join(at, counts.host.eqNullSafe(at.site)).where(
+        F.col("n") > F.lit(max_ratio) * F.col("pages")
+    )
     return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 

@@ -129,7 +129,7 @@ seen as (
 ),
 common as (
     select s.host, list(s.line) as bad from seen s join totals t on s.host is not distinct from t.host
-    where t.pages >= {MIN_PAGES} and s.n > {MAX_RATIO} * t.pages group by s.host
+    where t.pages >= {MIN_PAGES} and s.n > 1 and s.n > {MAX_RATIO} * t.pages group by s.host
 ),
 kept as (
     select page_id, l.host, ls,
