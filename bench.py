@@ -91,10 +91,10 @@ def queries(spark, layout):
         "ledger": lambda: consume(derive.ledger(silver, tables)),
         "enrich_hourly": lambda: consume(derive.enrich_hourly(place(silver["equipment"]), silver["weather"])),
         "lookup_shuffled": lambda: consume(
-            lookup(lines, orders, {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, unique=True, max_rows=0)
+            lookup(lines, orders, {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, unique=True)
         ),
         "lookup_hot_keys": lambda: consume(
-            lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "?"}, unique=True, max_rows=0)
+            lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "?"}, unique=True)
         ),
         "active_attendance": lambda: consume(
             derive.active_attendance(silver["hr"], derive.active_workers(silver["harvest"], silver["equipment"]))

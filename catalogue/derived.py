@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalogue.case import case, silver
 from catalogue.raw import load
 from catalogue.silver_sql import silver_sql
-from fieldlake.operators.ledger import document_balances, unbalanced_documents
+from fieldlake.operators.ledger import document_balances, posting_reason, unbalanced_documents, unposted_events
 from fieldlake.operators.lookup import hot_keys, keep_members, lookup
 from fieldlake.plans.derive import (
     active_attendance,
@@ -13,6 +13,7 @@ from fieldlake.plans.derive import (
     attendance_conflicts,
     enrich_fixed_hour,
     enrich_hourly,
+    events,
     fertilizer_use,
     fleet_costs,
     harvest_labor,
@@ -312,6 +313,20 @@ def whole_ledger(spark, sf):
     return ledger(sources, master(spark, sf), fee="7.50")
 
 
+def events_without_posting(spark, sf):
+    sources = {name: silver(spark, sf, name) for name in ("harvest", "fertilizer", "equipment", "hr")}
+    every = events(sources, master(spark, sf), fee="7.50")
+    left = unposted_events(every).groupBy("transaction_type", "reason").agg(F.count("*").alias("events"))
+    posted = every.where(posting_reason().isNull()).groupBy("transaction_type").agg(F.count("*").alias("events"))
+    return left.unionByName(posted.withColumn("reason", F.lit("posted")))
+
+
+UNPOSTED_SQL = _posted(ALL_EVENTS) + """select transaction_type,
+    case when amount is null then 'no amount' when amount <= 0 then 'not positive'
+         when abs(amount) >= 1e16 then 'beyond money' else 'posted' end as reason,
+    count(*) as events from events_posted group by all"""
+
+
 BALANCE_SQL = f"""select *, debit_lines = 1 and credit_lines = 1 and lines = 2 and debit = credit as balanced from (
     select document_id, count(*) filter (where debit_credit_indicator = 'S') as debit_lines,
     count(*) filter (where debit_credit_indicator = 'H') as credit_lines, count(*) as lines,
@@ -339,16 +354,15 @@ def _fertilizer(spark, sf):
 
 def _lines_with_order(spark, sf):
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    orders = load(spark, sf, "orders").where("o_orderstatus <> 'P'")
-    return lookup(
-        lines, orders, {"l_orderkey": "o_orderkey"}, {"o_orderpriority": "NONE", "o_custkey": None}, max_rows=0
-    )
+    orders = load(spark, sf, "orders")
+    return lookup(lines, orders, {"l_orderkey": "o_orderkey"}, {"o_orderpriority": "NONE", "o_custkey": None})
 
 
 def _lines_with_supplier(spark, sf):
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    suppliers = load(spark, sf, "supplier").where("s_nationkey <> 3")
-    return lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "NOBODY"}, max_rows=0)
+    suppliers = load(spark, sf, "supplier")
+    hot = hot_keys(lines, ["l_suppkey"], 1_000)
+    return lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "NOBODY"}, hot=hot)
 
 
 def cases():
@@ -380,13 +394,14 @@ def cases():
             _lines_with_order,
             """select l_orderkey, l_linenumber, l_partkey, l_quantity,
                coalesce(o_orderpriority, 'NONE') as o_orderpriority, o_custkey
-               from lineitem left join (select * from orders where o_orderstatus <> 'P') on o_orderkey = l_orderkey""",
+               from lineitem left join orders on o_orderkey = l_orderkey""",
         ),
         "lookup_hot_keys": case(
             _lines_with_supplier,
             """select l_orderkey, l_linenumber, l_suppkey, l_partkey, coalesce(s_name, 'NOBODY') as s_name
-               from lineitem left join (select * from supplier where s_nationkey <> 3) on s_suppkey = l_suppkey""",
+               from lineitem left join supplier on s_suppkey = l_suppkey""",
         ),
+        "unposted_events": case(events_without_posting, UNPOSTED_SQL),
         "hot_keys": case(
             lambda spark, sf: hot_keys(load(spark, sf, "events"), ["event_type"], 5),
             """select event_type from events group by 1
@@ -394,13 +409,11 @@ def cases():
         ),
         "members": case(
             lambda spark, sf: keep_members(
-                load(spark, sf, "orders").select("o_orderkey", "o_custkey"),
-                load(spark, sf, "customer").where("c_acctbal > 5000").withColumnRenamed("c_custkey", "o_custkey"),
-                ["o_custkey"],
-                max_rows=0,
+                load(spark, sf, "customer").select("c_custkey", "c_name"),
+                load(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey"),
+                ["c_custkey"],
             ),
-            """select o_orderkey, o_custkey from orders
-               where o_custkey in (select c_custkey from customer where c_acctbal > 5000)""",
+            """select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders)""",
         ),
         "active_workers": case(active, _with(**ACTIVE_PARTS) + "select * from active", dates=("work_date",)),
         "active_attendance": case(

@@ -23,13 +23,18 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Two decimals, a tie going to the even cent."""
-    return F.bround(amount, 2).cast("decimal(18,2)")
+    """Two decimals, a tie going to the even cent; NULL for what money cannot hold."""
+    return F.bround(amount, 2).try_cast("decimal(18,2)")
+
+
+def measured(quantity: Column) -> Column:
+    """A measured quantity as a decimal; NULL where it is no number or beyond 14 digits before the point."""
+    return quantity.try_cast("decimal(22,8)")
 
 
 def times_rate(quantity: Column, rate: str) -> Column:
     """An exact product of a measured quantity and a rate given as text."""
-    return quantity.try_cast("decimal(18,4)") * F.lit(Decimal(rate))
+    return measured(quantity) * F.lit(Decimal(rate))
 
 
 def hour_of(timestamp: Column) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake.functions.measures import money
 
+# The signs of the two sides.
 DEBIT, CREDIT = "S", "H"
 
-# What an event must offer to be posted.
+# What an event must offer to be posted, by the names of the ledger's interface.
 EVENT_COLUMNS = (
     "posting_timestamp",
     "cost_center_id",
@@ -24,8 +25,23 @@ EVENT_COLUMNS = (
 )
 
 
+def posting_reason() -> Column:
+    """Why an event is not posted, NULL for one that is."""
+    amount = F.col("amount")
+    return (
+        F.when(amount.isNull(), "no amount")
+        .when(amount <= 0, "not positive")
+        .when(money(amount).isNull(), "beyond money")
+    )
+
+
+def unposted_events(events: DataFrame) -> DataFrame:
+    """The events that ``post_pairs`` leaves out, with the reason; with the posted ones they are all."""
+    return events.withColumn("reason", posting_reason()).where(F.col("reason").isNotNull())
+
+
 def post_pairs(events: DataFrame, company_code: Column, currency: Column) -> DataFrame:
-    """Two lines per event with a positive amount: the debit and the credit of one document.
+    """Two lines per event with a positive amount (see ``unposted_events`` for the others): the debit and the credit of one document.
 
     The document number is made of the transaction type and the reference, so it does not depend
     on the order in which events are read. Both lines come out of one projection, without a shuffle.
@@ -42,7 +58,7 @@ def post_pairs(events: DataFrame, company_code: Column, currency: Column) -> Dat
     document = F.concat_ws("-", F.lit("DOC"), F.col("transaction_type"), F.col("reference_document"))
     posted = F.col("posting_timestamp")
     return (
-        events.where(F.col("amount") > 0)
+        events.where(posting_reason().isNull())
         .withColumn("_line", F.explode(sides))
         .select(
             document.alias("document_id"),

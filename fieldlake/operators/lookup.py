@@ -10,14 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldlake.functions.text import code
 from fieldlake.operators.dedupe import dedupe
 
-# A table is broadcast only if it is measured to be this small.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than one part in this many of all rows is hot; there cannot be more such keys.
 HOT_KEYS = 50_000
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+def is_small(df: DataFrame, rows: int = 100_000, size: int = 64 * 1024 * 1024) -> bool:
     """True when ``df`` is measured to have at most ``rows`` rows and ``size`` bytes of values.
 
     Every task adds up its own part, so measuring moves one row per task.
@@ -39,34 +36,33 @@ def hot_keys(df: DataFrame, on: Sequence[str], limit: int = HOT_KEYS) -> DataFra
     return per_key.where(F.col("_rows") * limit > total.scalar()).select(*on)
 
 
-def _join_hot_apart(fact: DataFrame, ref: DataFrame, on: list[str], limit: int) -> DataFrame:
-    """Left join on a unique ``ref`` that no single key can slow down.
+def _join_unique(fact: DataFrame, ref: DataFrame, on: list[str], hot: DataFrame | None) -> DataFrame:
+    """Left join on a reference with one row per key. Building it runs no job, and reads the fact once.
 
-    Hot keys, of which there are at most ``limit``, get their reference row by broadcast. Their
-    rows, and rows with a NULL key, then go through the shuffle spread evenly, as they look for
-    nothing there. All other rows join on the key. Where there are no hot keys, that part is left
-    out of the plan.
+    Rows with a NULL key look for nothing, so they go through the shuffle spread evenly. Whether the
+    reference is small enough to be broadcast, and which shuffled partitions are to be split, is
+    decided while running, from measured sizes: both sides are plain shuffles on the key and the
+    spread. Keys that the caller names as ``hot`` get their reference row by broadcast and their fact
+    rows are spread as well; any such set gives the same result.
     """
     taken = [name for name in ref.columns if name not in on]
     nothing_to_find = F.lit(False)
     for name in on:
         nothing_to_find = nothing_to_find | F.col(name).isNull()
     row = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in fact.columns])
-    hot = hot_keys(fact, on, limit)
-    any_hot = not hot.isEmpty()
-    if any_hot:
+    if hot is not None:
         values = [F.col(name).alias(f"_hot{name}") for name in taken]
-        hot = hot.join(ref, on, "left").select(*on, F.lit(True).alias("_hot"), *values)
-        fact = fact.join(F.broadcast(hot), on, "left")
+        known = hot.select(*on).dropna().distinct().join(ref, on, "left").select(*on, F.lit(True).alias("_hot"), *values)
+        fact = fact.join(F.broadcast(known), on, "left")
         nothing_to_find = nothing_to_find | F.col("_hot").isNotNull()
     spread = F.when(nothing_to_find, F.pmod(row, F.lit(1 << 30)) + 1).otherwise(F.lit(0).cast("bigint"))
     # A computed zero: a literal would be folded out of the join keys, and the rows not be spread.
     zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
     joined = fact.withColumn("_spread", spread).join(ref.withColumn("_spread", zero), [*on, "_spread"], "left")
-    if any_hot:
-        known = F.col("_hot").isNotNull()
+    if hot is not None:
+        is_hot = F.col("_hot").isNotNull()
         joined = joined.withColumns(
-            {name: F.when(known, F.col(f"_hot{name}")).otherwise(F.col(name)) for name in taken}
+            {name: F.when(is_hot, F.col(f"_hot{name}")).otherwise(F.col(name)) for name in taken}
         )
     kept = [name for name in fact.columns if not name.startswith("_hot")]
     return joined.select(*kept, *taken)
@@ -80,16 +76,15 @@ def lookup(
     order_by: Sequence[Column] = (),
     normalise: bool = False,
     unique: bool = False,
-    max_rows: int = BROADCAST_ROWS,
-    hot_limit: int = HOT_KEYS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add reference columns to every fact row, with a default where there is nothing to add.
 
     ``on`` maps fact columns to reference columns and ``take`` maps reference columns to their
     defaults. One reference row per key is used, the first by ``order_by``, so the fact never fans
     out; ``unique`` says that there is only one, as in a dimension, and saves looking for it.
-    ``normalise`` compares text keys upper-cased and trimmed. A reference measured to be small
-    is broadcast; a larger one is shuffled with the hot keys kept apart.
+    ``normalise`` compares text keys upper-cased and trimmed. ``hot`` names fact keys to be kept
+    apart, as found by ``hot_keys`` or known beforehand; it must be a bounded set, as it is broadcast.
     """
     slots = {left: f"_key_{i}" for i, left in enumerate(on)}
     keys = list(slots.values())
@@ -97,14 +92,13 @@ def lookup(
     reference = _keyed(ref, {slots[left]: right for left, right in on.items()}, normalise).dropna(subset=keys)
     taken = {name: f"_take_{name}" for name in take}
     picked = [*keys, *[F.col(name).alias(slot) for name, slot in taken.items()]]
-    small = is_small(reference.select(*picked), max_rows)
     if order_by and not unique:
         reference = dedupe(reference, keys, order_by)
     reference = reference.select(*picked)
     if not order_by and not unique:
         reference = dedupe(reference, keys)
-    small = small or (not unique and is_small(reference, max_rows))
-    joined = _join_unique(keyed, reference, keys, small, hot_limit)
+    apart = None if hot is None else _keyed(hot, {slot: left for left, slot in slots.items()}, normalise)
+    joined = _join_unique(keyed, reference, keys, apart)
     filled = {
         name: F.col(slot) if take[name] is None else F.coalesce(F.col(slot), F.lit(take[name]))
         for name, slot in taken.items()
@@ -124,28 +118,20 @@ def _keyed(df: DataFrame, slots: Mapping[str, str], normalise: bool) -> DataFram
     )
 
 
-def _join_unique(fact: DataFrame, ref: DataFrame, keys: list[str], small: bool, hot_limit: int) -> DataFrame:
-    """Left join on a reference with one row per key, which may be known to be small."""
-    if small:
-        return fact.join(F.broadcast(ref), keys, "left")
-    return _join_hot_apart(fact, ref, keys, hot_limit)
-
-
 def keep_members(
     df: DataFrame,
     members: DataFrame,
     on: Sequence[str],
     normalise: bool = False,
-    max_rows: int = BROADCAST_ROWS,
-    hot_limit: int = HOT_KEYS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``members``; as skew-proof as ``lookup``."""
     slots = {f"_key_{i}": name for i, name in enumerate(on)}
     keys = list(slots)
     listed = _keyed(members.select(*on), slots, normalise).select(*keys).dropna().distinct()
-    small = is_small(listed, max_rows)
     listed = listed.withColumn("_member", F.lit(True))
-    found = _join_unique(_keyed(df, slots, normalise), listed, keys, small, hot_limit)
+    apart = None if hot is None else _keyed(hot, slots, normalise)
+    found = _join_unique(_keyed(df, slots, normalise), listed, keys, apart)
     return found.where(F.col("_member")).select(*df.columns)
 
 

@@ -25,14 +25,17 @@ def is_not(column: str, *values: Any) -> Column:
 
 
 def exact_sum(column: Column) -> Column:
-    """A sum of doubles that does not depend on the order of rows: they are added as decimals with
-    4 places, more than the measures have. Values that are no numbers are left out."""
-    return F.sum(column.try_cast("decimal(28,4)"))
+    """A sum of doubles that does not depend on the order of rows where all of them can be told exactly
+    with 10 places, as measures can: they are added as decimals. Where one cannot (infinite, not a
+    number, very large or finer), nothing is left out or rounded: the sum is that of the doubles."""
+    exact = column.try_cast("decimal(28,10)")
+    odd = F.max(column.isNotNull() & ~F.coalesce(exact.cast("double") == column, F.lit(False)))
+    return F.when(odd, F.sum(column)).otherwise(F.sum(exact).cast("double"))
 
 
 def _sum_of(df: DataFrame, measure: str) -> Column:
     if dict(df.dtypes)[measure] in ("double", "float"):
-        return exact_sum(F.col(measure)).cast("double")
+        return exact_sum(F.col(measure).cast("double"))
     return F.sum(F.col(measure))
 
 

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.functions.measures import at_hour, hour_of, times_rate
+from fieldlake.functions.measures import at_hour, hour_of, measured, times_rate
 from fieldlake.operators.ledger import EVENT_COLUMNS, post_pairs
 from fieldlake.operators.lookup import distinct_union, keep_members, lookup
 from fieldlake.operators.measures import is_not
@@ -151,8 +151,8 @@ def _event(kind: str, reference: str, text: str, **columns: Column) -> Column:
 
 
 def _events(rows: DataFrame, *events: Column) -> DataFrame:
-    """The events of every row, one projection for all of them."""
-    return rows.select(F.explode(F.array(*events)).alias("_event")).select("_event.*")
+    """The events of every row, one projection for all of them; a NULL is no event."""
+    return rows.select(F.explode(F.array_compact(F.array(*events))).alias("_event")).select("_event.*")
 
 
 def harvest_labor(
@@ -178,7 +178,7 @@ def fertilizer_use(
 ) -> DataFrame:
     done = with_cost_center(fertilizer.where(is_not("application_status", "CANCELLED")), blocks, cost_centers)
     costed = with_unit_cost(done, materials)
-    amount = F.col("quantity_kg").try_cast("decimal(18,4)") * F.col("standard_cost").cast("decimal(18,4)")
+    amount = measured(F.col("quantity_kg")) * F.col("standard_cost").try_cast("decimal(14,4)")
     return _events(
         costed,
         _event(
@@ -202,7 +202,7 @@ def fleet_costs(equipment: DataFrame, maintenance_rate: str = MAINTENANCE_RATE)
         "employee_id": F.col("operator_id"),
         "equipment_id": F.col("equipment_id"),
     }
-    repair = F.when(F.col("maintenance_flag"), F.lit(maintenance_rate).cast("decimal(18,2)"))
+    cost = F.lit(maintenance_rate).cast("decimal(18,2)")
     return _events(
         rows,
         _event(
@@ -213,7 +213,10 @@ def fleet_costs(equipment: DataFrame, maintenance_rate: str = MAINTENANCE_RATE)
             amount=times_rate(F.col("fuel_consumption_liters"), FUEL_PRICE_PER_LITER),
             **same,
         ),
-        _event("EQUIPMENT_MAINTENANCE", "operation_id", "Equipment Repair", amount=repair, **same),
+        F.when(
+            F.col("maintenance_flag"),
+            _event("EQUIPMENT_MAINTENANCE", "operation_id", "Equipment Repair", amount=cost, **same),
+        ),
     )
 
 
@@ -235,20 +238,30 @@ def wages(attendance: DataFrame) -> DataFrame:
     )
 
 
-def ledger(
+def events(
     silver: Mapping[str, DataFrame],
     master: Mapping[str, DataFrame],
     fee: str = HARVEST_FEE,
     maintenance_rate: str = MAINTENANCE_RATE,
-    company_code: str = COMPANY_CODE,
-    currency: str = CURRENCY,
 ) -> DataFrame:
-    """All postings of the estate, two lines per event. Every event is posted; there is no cap."""
+    """All events that operations give rise to, posted or not."""
     blocks, centers = master["blocks"], master["cost_centers"]
-    events = (
+    return (
         harvest_labor(silver["harvest"], blocks, centers, fee)
         .unionByName(fertilizer_use(silver["fertilizer"], blocks, centers, master["materials"]))
         .unionByName(fleet_costs(silver["equipment"], maintenance_rate))
         .unionByName(wages(silver["hr"]))
     )
-    return post_pairs(events, F.lit(company_code), F.lit(currency))
+
+
+def ledger(
+    silver: Mapping[str, DataFrame],
+    master: Mapping[str, DataFrame],
+    fee: str = HARVEST_FEE,
+    maintenance_rate: str = MAINTENANCE_RATE,
+    company_code: str = COMPANY_CODE,
+    currency: str = CURRENCY,
+) -> DataFrame:
+    """All postings of the estate, two lines per event. Every event with a positive amount is posted;
+    there is no cap, and ``unposted_events(events(...))`` lists the others."""
+    return post_pairs(events(silver, master, fee, maintenance_rate), F.lit(company_code), F.lit(currency))

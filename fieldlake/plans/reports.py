@@ -179,11 +179,11 @@ def fertilizer_kpis(fertilizer: DataFrame) -> DataFrame:
         _rows("applications"),
     )
     return groups.agg(
-        F.sum("kg").cast("double").alias("kg"),
+        exact_sum(F.col("kg")).alias("kg"),
         F.sum("applications").alias("applications"),
         F.count_distinct("material_id").alias("materials"),
         F.count_distinct("block_id").alias("blocks"),
-        F.round(F.try_divide(F.sum("kg").cast("double"), F.sum("weighed")), 6).alias("avg_kg"),
+        F.round(F.try_divide(exact_sum(F.col("kg")), F.sum("weighed")), 6).alias("avg_kg"),
     )
 
 

@@ -188,3 +188,20 @@ def test_fact_keeps_null_foreign_keys(spark):
         ("H1", T.date(), None), ("H2", T.date(), None),
     }
     assert build_model(rows, FACT_HARVEST, unique_by=("harvest_id",)).count() == 2
+
+
+def test_every_event_is_posted_or_listed(spark):
+    from fieldlake.operators.ledger import post_pairs, unposted_events
+    from fieldlake.plans.derive import fleet_costs
+
+    rows = [("o1", 0.00004), ("o2", 1e25), ("o3", float("inf")), ("o4", None), ("o5", -1.0), ("o6", 10.0), ("o7", 9e13)]
+    equipment = spark.createDataFrame(
+        [(o, None, "p", "e", v, False) for o, v in rows],
+        "operation_id string, timestamp timestamp, operator_id string, equipment_id string, "
+        "fuel_consumption_liters double, maintenance_flag boolean",
+    )
+    fuel = fleet_costs(equipment).where("transaction_type = 'EQUIPMENT_FUEL'")
+    reasons = {r.reference_document: r.reason for r in unposted_events(fuel).collect()}
+    assert reasons == {"o2": "no amount", "o3": "no amount", "o4": "no amount", "o5": "not positive"}
+    posted = post_pairs(fuel, F.lit("C"), F.lit("MYR"))
+    assert {r.reference_document for r in posted.collect()} == {"o1", "o6", "o7"}

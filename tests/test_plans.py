@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalogue import all_cases
 from fieldlake.operators.cleaning import clean
 from fieldlake.operators.dedupe import dedupe
-from fieldlake.operators.lookup import lookup
+from fieldlake.operators.lookup import hot_keys, keep_members, lookup
 from fieldlake.operators.measures import breakdown, filter_in, top_k
 from fieldlake.operators.models import build_model
 from fieldlake.operators.quality import dq_report
@@ -77,11 +77,24 @@ def test_small_reference_does_not_shuffle_the_fact(spark, lines):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_large_reference_broadcasts_hot_keys_only(spark, lines):
+def test_lookup_runs_no_job_and_reads_the_fact_once(spark, lines):
+    ref = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("building", "lookups")
+    try:
+        found = lookup(lines, ref, {"l_orderkey": "o_orderkey"}, {"o_custkey": None})
+        kept = keep_members(lines, ref.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"])
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert plan(found).count("lineitem.parquet") == plan(kept).count("lineitem.parquet") == 1
+
+
+def test_named_hot_keys_are_broadcast_and_spread(spark, lines):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         ref = spark.read.parquet(f"{SF_DIR}/orders.parquet")
-        text = plan(lookup(lines, ref, {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, max_rows=0))
+        text = plan(lookup(lines, ref, {"l_orderkey": "o_orderkey"}, {"o_custkey": None}, hot=hot_keys(lines, ["l_orderkey"])))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in text
