@@ -30,7 +30,7 @@ def silver(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     spec = MODELS[model]
-    return build_model(silver(spark, sf_dir, spec.source), spec)
+    return build_model(silver(spark, sf_dir, spec.source), spec, unique_by=CONTRACTS[spec.source].key)
 
 
 def shown(df: DataFrame) -> DataFrame:

@@ -244,10 +244,10 @@ def cases():
                 from (select count(*) as n from ({raw_sql('finance')}) group by document_id, gl_account)""",
         ),
         "duplicate_rows": case(
-            lambda spark, sf: duplicate_counts(raw_source(spark, sf, "weather").select("timestamp", "region_id")),
+            lambda spark, sf: duplicate_counts(raw_source(spark, sf, "weather")),
             f"""select cast(sum(n) as bigint) as total_rows, count(*) as distinct_keys,
                 cast(sum(n) - count(*) as bigint) as duplicate_rows
-                from (select count(*) as n from ({raw_sql('weather')}) group by timestamp, region_id)""",
+                from (select *, count(*) as n from ({raw_sql('weather')}) group by all)""",
         ),
         "chosen_values": case(
             lambda spark, sf: filter_in(

@@ -71,8 +71,17 @@ def malformed_rows(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
 
 
-def _overlaps(one: str, other: str) -> bool:
-    a, b = (path.removeprefix("file:").rstrip("/") + "/" for path in (one, other))
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as its file system names it, so that ``/a``, ``file:/a`` and ``/b/../a`` are the same."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = found.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().normalize()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
+def _overlaps(spark: SparkSession, one: str, other: str) -> bool:
+    a, b = (_qualified(spark, path).rstrip("/") + "/" for path in (one, other))
     return a.startswith(b) or b.startswith(a)
 
 
@@ -93,7 +102,7 @@ def write_counted(
     partition columns: a partition becomes a few files of good size, a large one is split.
     """
     for source in reads:
-        if mode == "overwrite" and _overlaps(source, path):
+        if mode == "overwrite" and _overlaps(df.sparkSession, source, path):
             raise SourceError(f"{path} cannot replace {source}, which it is read from")
     seen = Observation()
     measures = [F.count(F.lit(1)).alias("rows")]

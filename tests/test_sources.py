@@ -209,3 +209,12 @@ def test_all_sources_and_views(spark, tmp_path):
         assert spark.sql(f"select count(*) as n from vw_{name}").first().n == 1
     row = overview(views).first()
     assert (row.operations, row.machines, row.people, float(row.amount)) == (1, 1, 1, 1.0)
+
+
+def test_one_folder_has_many_names(spark, tmp_path):
+    from fieldlake.sources.batch import _overlaps
+
+    here = str(tmp_path)
+    for other in (f"file:{here}", f"file://{here}", f"{here}/x/..", f"{here}/inside", here + "/"):
+        assert _overlaps(spark, here, other) and _overlaps(spark, other, here)
+    assert not _overlaps(spark, here, f"{here}2")
