@@ -33,7 +33,8 @@ def test_run_index_against_all_pairs():
 
 
 def test_repetitive_text_has_few_runs():
-    text = bytes(random.Random(1).randrange(97, 123) for _ in range(500))
+    rng = random.Random(1)
+    text = bytes(rng.randrange(97, 123) for _ in range(500))
     assert RunIndex([text] * 20).runs < 3 * RunIndex([text]).runs
 
 
