@@ -5,15 +5,16 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from catalogue.case import CONTRACTS, case, silver
-from catalogue.raw import raw_source, raw_sql
-from catalogue.silver_sql import silver_sql
+from catalogue.cleaning import DATES, TIMES
+from catalogue.raw import load, raw_source, raw_sql
+from catalogue.silver_sql import model_sql, silver_sql
 from fieldlake.operators.cleaning import INGESTED_AT, clean
-from fieldlake.operators.quality import layer_counts
 from fieldlake.plans.batch import run_batch
-from fieldlake.plans.estate import BATCH_SOURCES, MODELS, SENSORS
+from fieldlake.plans.estate import BATCH_SOURCES, MODELS, SENSORS, SERVING
+from fieldlake.plans.serving import serving_views
 from fieldlake.session import scratch_folder
 from fieldlake.sources.batch import CSV_DIALECT, ingest_raw, read_source, read_table
-from fieldlake.sources.inventory import compare_file_trees
+from fieldlake.sources.inventory import compare_file_trees, landed_files
 from fieldlake.sources.layout import Layout
 from fieldlake.streaming.live import run_live
 
@@ -74,11 +75,14 @@ def redelivered(spark, sf):
 
 
 def rerun(spark, sf):
-    """Rows that three runs add: a delivery, the same delivery again, and no delivery."""
+    """Rows that three runs add and leave: a delivery, the same delivery again, and no delivery."""
     raw = raw_source(spark, sf, "sensors")
     runs = live_table(spark, sf, [raw, raw, None])[1]
-    rows = [(i + 1, run.bronze_rows, run.silver_rows) for i, run in enumerate(runs)]
-    return spark.createDataFrame(rows, "run int, bronze_rows bigint, silver_rows bigint")
+    rows = [
+        (i + 1, run.bronze_rows, run.silver_rows, run.bronze_total, run.silver_total) for i, run in enumerate(runs)
+    ]
+    kinds = "run int, bronze_rows bigint, silver_rows bigint, bronze_total bigint, silver_total bigint"
+    return spark.createDataFrame(rows, kinds)
 
 
 def late_rows(spark, sf):
@@ -96,33 +100,124 @@ def late_rows(spark, sf):
     return read_table(spark, layout.live_silver(SENSORS.name)).drop(INGESTED_AT)
 
 
-def landed_twice(spark, sf, layout):
+def landed_twice(spark, sf, layout, sources=tuple(BATCH_SOURCES)):
     """Sources that pass the gate: cleaned rows as text, every row delivered twice."""
-    for name, contract in BATCH_SOURCES.items():
+    for name in sources:
+        contract = BATCH_SOURCES[name]
         rows = silver(spark, sf, name).dropna(subset=list(contract.key))
         text = rows.select(*[F.col(c).cast("string").alias(c) for c in contract.column_names])
         deliver(text.unionByName(text), layout.landing(name, contract.file_name))
 
 
+def contents(df):
+    """A number for the rows of a table, whatever their order: hashes added up."""
+    rows = F.xxhash64(*df.columns).cast("decimal(20,0)")
+    return df.agg(F.coalesce(F.sum(rows).cast("string"), F.lit("none"))).first()[0]
+
+
 def batch_rerun(spark, sf):
-    """The whole batch run, twice over the same sources: rows per table after each."""
+    """The whole batch run, twice over the same sources: rows per table after each, and whether the
+    two left the same contents. Raw tables keep the source's rows and the names of its files."""
     layout = Layout(scratch_folder(spark, "batch"))
     landed_twice(spark, sf, layout)
-    first, second = run_batch(spark, layout, RUN_TS), run_batch(spark, layout, RUN_TS)
+    paths = {("bronze", name): layout.bronze(name) for name in BATCH_SOURCES}
+    paths |= {("silver", name): layout.silver(name) for name in BATCH_SOURCES}
+    paths |= {("gold", name): layout.gold(name) for name in MODELS}
+    runs, seen = [], []
+    for _ in range(2):
+        runs.append(run_batch(spark, layout, RUN_TS))
+        seen.append({at: contents(read_table(spark, path)) for at, path in paths.items()})
     rows = [
-        (layer, name, count, getattr(second, layer)[name])
-        for layer in ("bronze", "silver", "gold")
-        for name, count in getattr(first, layer).items()
+        (layer, name, *(getattr(run, layer)[name] for run in runs), seen[0][layer, name] == seen[1][layer, name])
+        for layer, name in paths
     ]
-    return spark.createDataFrame(rows, "layer string, table_name string, first_rows bigint, second_rows bigint")
+    kinds = "layer string, table_name string, first_rows bigint, second_rows bigint, same_contents boolean"
+    return spark.createDataFrame(rows, kinds)
 
 
-def batch_tables(spark, sf):
-    """What the models hold after a run, counted from their files."""
-    layout = Layout(scratch_folder(spark, "batch"))
-    landed_twice(spark, sf, layout)
-    run_batch(spark, layout, RUN_TS)
-    return layer_counts({name: read_table(spark, layout.gold(name)) for name in MODELS})
+def view_rows(model):
+    """A serving view over the tables of a batch run."""
+    source = MODELS[model].source
+
+    def run(spark, sf):
+        layout = Layout(scratch_folder(spark, "views"))
+        landed_twice(spark, sf, layout, [source])
+        run_batch(spark, layout, RUN_TS, sources=[source])
+        return serving_views(spark, layout, {model: SERVING[model]})[model]
+
+    return run
+
+
+def view_case(model):
+    kinds = SERVING[model].columns
+    keys = " and ".join(f"{key} is not null" for key in MODELS[model].key)
+    return case(
+        view_rows(model),
+        f"select * from ({model_sql(model)}) where {keys}",
+        dates=tuple(name for name, kind in kinds.items() if kind == "date"),
+        times=tuple(name for name, kind in kinds.items() if kind == "datetime2"),
+        decimals=tuple(name for name, kind in kinds.items() if kind.startswith("decimal")),
+    )
+
+
+def _deliver_by_nation(df, path):
+    """Customers as lines of text, a folder for each nation and one file in it."""
+    line = F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value")
+    rows = df.select(line, F.col("c_nationkey").alias("nation")).repartition("nation")
+    rows.sortWithinPartitions("nation", "value").write.partitionBy("nation").text(path)
+
+
+def two_deliveries(spark, sf):
+    """Two deliveries of the customers. In the second the customers of nation 3 have a new name and
+    those of nation 5 come under nation 105."""
+    left, right = scratch_folder(spark, "left"), scratch_folder(spark, "right")
+    customers = load(spark, sf, "customer")
+    _deliver_by_nation(customers, left)
+    renamed = F.when(F.col("c_nationkey") == 3, F.concat("c_name", F.lit("*"))).otherwise(F.col("c_name"))
+    moved = F.when(F.col("c_nationkey") == 5, 105).otherwise(F.col("c_nationkey"))
+    _deliver_by_nation(customers.withColumns({"c_name": renamed, "c_nationkey": moved}), right)
+    return compare_file_trees(spark, left, right, by_folder=True).select("file", "status", "left_lines", "right_lines")
+
+
+TWO_DELIVERIES_SQL = """
+with a as (select c_nationkey as k, count(*) as n from customer group by 1),
+b as (select case when c_nationkey = 5 then 105 else c_nationkey end as k, count(*) as n from customer group by 1)
+select 'nation=' || coalesce(a.k, b.k) as file,
+       case when b.k is null then 'left_only' when a.k is null then 'right_only'
+            when a.k = 3 then 'changed' else 'same' end as status,
+       a.n as left_lines, b.n as right_lines
+from a full join b on a.k = b.k
+"""
+
+LOST, STRANGER = "weather", "rain"
+
+
+def landing_check(spark, sf):
+    """All sources landed but one, and one that no contract names."""
+    layout = Layout(scratch_folder(spark, "landing"))
+    for name, contract in BATCH_SOURCES.items():
+        where = layout.landing(STRANGER, "rain.csv") if name == LOST else layout.landing(name, contract.file_name)
+        deliver(raw_source(spark, sf, name), where)
+    found = landed_files(spark, layout, BATCH_SOURCES)
+    name = F.regexp_extract("name", "^[^/]*", 0).alias("name")
+    return found.groupBy(name, "status").agg(F.max("rows").alias("rows"))
+
+
+LANDING_SQL = " union all ".join(
+    [f"select '{name}' as name, 'ok' as status, (select count(*) from ({raw_sql(name)})) as rows"
+     for name in BATCH_SOURCES if name != LOST]
+    + [f"select '{LOST}', 'missing', null", f"select '{STRANGER}', 'stranger', null"]
+)
+
+
+def hot_reading(spark, sf):
+    """Rows that one reading makes of itself: every event under one key, in one delivery and again in a second."""
+    raw = raw_source(spark, sf, "sensors").withColumns(
+        {"sensor_id": F.lit("s1"), "timestamp": F.lit("2024-01-01 00:00:00")}
+    )
+    table, runs = live_table(spark, sf, [raw, raw.coalesce(1)])
+    rows = [(i + 1, run.bronze_rows, run.silver_rows, run.silver_total) for i, run in enumerate(runs)]
+    return spark.createDataFrame(rows, "run int, bronze_rows bigint, silver_rows bigint, silver_total bigint")
 
 
 def _landed_sql(name):
@@ -131,7 +226,7 @@ def _landed_sql(name):
 
 
 def _count(table, layer, sql, times=1):
-    return f"select '{layer}' as layer, '{table}' as table_name, {times} * count(*) as first_rows, {times} * count(*) as second_rows from ({sql})"
+    return f"select '{layer}' as layer, '{table}' as table_name, {times} * count(*) as first_rows, {times} * count(*) as second_rows, true as same_contents from ({sql})"
 
 
 def _model_count_sql(model):
@@ -150,17 +245,19 @@ LIVE = silver_sql("sensors")
 
 
 def cases():
-    return {
-        "csv_harvest": case(csv_source("harvest"), silver_sql("harvest"), times=("timestamp",)),
-        "csv_fertilizer": case(csv_source("fertilizer"), silver_sql("fertilizer"), times=("timestamp",)),
-        "raw_table_fertilizer": case(raw_table("fertilizer"), raw_table_sql("fertilizer")),
-        "raw_table_equipment": case(raw_table("equipment"), raw_table_sql("equipment")),
+    found = {
         "live_table": case(redelivered, LIVE, times=("timestamp",)),
         "live_rerun": case(
             rerun,
-            f"""select cast(1 as int) as run, (select count(*) from events) as bronze_rows,
-                (select count(*) from ({LIVE})) as silver_rows
-                union all select 2, (select count(*) from events), 0 union all select 3, 0, 0""",
+            f"""select i as run, case when i < 3 then n else 0 end as bronze_rows, case when i = 1 then m else 0 end
+                as silver_rows, least(i, 2) * n as bronze_total, m as silver_total
+                from (select unnest([1, 2, 3]) as i), (select count(*) as n from events),
+                (select count(*) as m from ({LIVE}))""",
+        ),
+        "live_hot_reading": case(
+            hot_reading,
+            """select i as run, count(*) as bronze_rows, cast(case when i = 1 then 1 else 0 end as bigint) as silver_rows,
+               cast(1 as bigint) as silver_total from (select unnest([1, 2]) as i), events group by i""",
         ),
         "live_late_rows": case(
             late_rows,
@@ -168,5 +265,18 @@ def cases():
             times=("timestamp",),
         ),
         "batch_rerun": case(batch_rerun, RERUN_SQL),
-        "same_files": case(lambda spark, sf: compare_file_trees(spark, sf, sf)),
+        "same_files": case(two_deliveries, TWO_DELIVERIES_SQL),
+        "landing_check": case(landing_check, LANDING_SQL),
     }
+    for name in BATCH_SOURCES:
+        found[f"csv_{name}"] = case(
+            csv_source(name),
+            silver_sql(name),
+            times=TIMES[name],
+            dates=DATES.get(name, ()),
+            decimals=("amount",) if name == "finance" else (),
+        )
+        found[f"raw_table_{name}"] = case(raw_table(name), raw_table_sql(name))
+    for model in SERVING:
+        found[f"view_{model}"] = view_case(model)
+    return found

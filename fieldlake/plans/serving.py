@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldlake.contracts import ServingContract
+from fieldlake.operators.conform import apply_contract
 from fieldlake.plans.estate import SENSORS, SERVING
 from fieldlake.plans.reports import LIVE_VIEWS, live_measures, live_status
 from fieldlake.sources.batch import read_table, read_typed
 from fieldlake.sources.layout import Layout
 
 
-def serving_views(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """``vw_<model>`` over every dimension and fact, with its serving columns and types."""
-    return {
-        name: read_typed(spark, contract, layout.gold(name), layout.table_format, view=f"vw_{name}")
-        for name, contract in SERVING.items()
-    }
+def serving_views(
+    spark: SparkSession, layout: Layout, contracts: Mapping[str, ServingContract] = SERVING
+) -> dict[str, DataFrame]:
+    """``vw_<model>`` over every dimension and fact, with its serving columns, types and widths.
+
+    A text that is too long for its column stops the query that reads it.
+    """
+    views = {}
+    for name, contract in contracts.items():
+        table = read_typed(spark, contract, layout.gold(name), layout.table_format)
+        views[name] = apply_contract(table, contract)
+        views[name].createOrReplaceTempView(f"vw_{name}")
+    return views
 
 
 def live_views(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

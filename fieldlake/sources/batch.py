@@ -71,7 +71,7 @@ def malformed_rows(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
+def qualified(spark: SparkSession, path: str) -> str:
     """A path as its file system names it, so that ``/a``, ``file:/a`` and ``/b/../a`` are the same."""
     jvm = spark.sparkContext._jvm
     found = jvm.org.apache.hadoop.fs.Path(path)
@@ -80,8 +80,13 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def _overlaps(spark: SparkSession, one: str, other: str) -> bool:
-    a, b = (_qualified(spark, path).rstrip("/") + "/" for path in (one, other))
+    a, b = (qualified(spark, path).rstrip("/") + "/" for path in (one, other))
     return a.startswith(b) or b.startswith(a)
 
 

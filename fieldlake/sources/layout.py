@@ -11,10 +11,15 @@ from fieldlake.errors import SourceError
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths of all layers under one root, on any file system Spark can reach."""
+    """Paths of all layers under one root, on any file system Spark can reach.
+
+    Facts lie by month of their event date, or with ``facts_by_day`` by the date itself: then a
+    filter of a view on that date reads the days it names alone.
+    """
 
     root: str
     table_format: str = "parquet"
+    facts_by_day: bool = False
 
     def _at(self, *parts: str) -> str:
         return posixpath.join(self.root, *parts)

@@ -8,22 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldlake.contracts import SourceContract
 from fieldlake.operators.cleaning import INGESTED_AT, clean_rows
-from fieldlake.sources.batch import MALFORMED, SOURCE_FILE, csv_options
+from fieldlake.sources.batch import MALFORMED, SOURCE_FILE, csv_options, path_exists, read_table
 from fieldlake.sources.layout import Layout
 
-# Copies of one key are first reduced within this many parts, then to one.
-DEDUPE_PARTS = 8
 READING_DATE = "reading_date"
-# Progress reports kept per stream; the rows of a run are added up from them.
-KEPT_PROGRESS = 1_000_000
+# Seconds between two looks at the progress of a running stream, which keeps its last hundred batches.
+LOOK_EVERY = 0.2
+
+
+@dataclass(frozen=True)
+class Drained:
+    """Rows one run of a stream added, rows its table holds now, rows that came too late to be added."""
+
+    added: int
+    total: int
+    late: int = 0
 
 
 @dataclass(frozen=True)
 class LiveRun:
-    """Rows that one run added to the two live tables."""
+    """What one run did to the two live tables: rows added, rows held now, rows dropped as late."""
 
     bronze_rows: int
     silver_rows: int
+    bronze_total: int
+    silver_total: int
+    late_rows_dropped: int = 0
 
 
 def read_stream(
@@ -55,17 +65,22 @@ def read_table_stream(
     return reader.load(path)
 
 
+def table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Rows of a live table, none before its first run. Parquet answers this from its footers."""
+    return read_table(spark, path, fmt).count() if path_exists(spark, path) else 0
+
+
 def drain(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
-) -> int:
-    """Append all that is available to a table, stop, and return the rows added by this run.
+) -> Drained:
+    """Append all that is available to a table and stop.
 
-    A run that fails raises. The next run goes on from the checkpoint.
+    Added rows are the growth of the table, which has this stream as its only writer. A run that
+    fails raises. The next run goes on from the checkpoint.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_PROGRESS))
+    before = table_rows(df.sparkSession, path, fmt)
     writer = (
-        df.observe("added", F.count(F.lit(1)).alias("rows"))
-        .writeStream.format(fmt)
+        df.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -73,9 +88,15 @@ def drain(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.start(path)
-    query.awaitTermination()
-    seen = [p.observedMetrics["added"]["rows"] for p in query.recentProgress if "added" in p.observedMetrics]
-    return sum(seen)
+    late, last, done = 0, -1, False
+    while not done:
+        done = query.awaitTermination(LOOK_EVERY)
+        for seen in query.recentProgress:
+            if seen.batchId > last:
+                last = seen.batchId
+                late += sum(state.numRowsDroppedByWatermark for state in seen.stateOperators)
+    total = table_rows(df.sparkSession, path, fmt)
+    return Drained(total - before, total, late)
 
 
 def first_per_key(
@@ -83,21 +104,24 @@ def first_per_key(
     keys: tuple[str, ...],
     event_time: str | None = None,
     late_horizon: str | None = None,
-    parts: int = DEDUPE_PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per key over the life of the stream; which copy arrives first is not specified.
 
-    With more than one part, copies of a key are first reduced within parts chosen by row content
-    and file, so a key redelivered over and over does not fall to a single task. State is kept for
-    ever unless ``late_horizon`` bounds it: then rows older than that, as seen by an earlier batch,
-    are dropped.
+    Copies of a key are first reduced within parts, as many as there are shuffle partitions unless
+    ``parts`` says otherwise, and then to one. A row's part is that of the task that reads it, so a
+    key redelivered over and over, in one large file or in many, falls to all parts alike. State is
+    kept for ever unless ``late_horizon`` bounds it: then rows older than that, as seen by an earlier
+    batch, are dropped.
     """
+    if parts is None:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if late_horizon:
         rows = rows.withWatermark(event_time, late_horizon)
         if event_time not in keys:
             keys = (*keys, event_time)
     if parts > 1:
-        part = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(parts))
+        part = F.pmod(F.spark_partition_id(), F.lit(parts))
         rows = rows.withColumn("_part", part).dropDuplicates([*keys, "_part"]).drop("_part")
     return rows.dropDuplicates(list(keys))
 
@@ -107,20 +131,18 @@ def clean_stream(
     contract: SourceContract,
     event_time: str = "timestamp",
     late_horizon: str | None = None,
-    parts: int = DEDUPE_PARTS,
+    parts: int | None = None,
     stamp: Column | None = None,
 ) -> DataFrame:
     """The batch cleaning rules on a stream, then one row per key, stamped with the batch time."""
-    rows = clean_rows(raw, contract, keep=[SOURCE_FILE] if SOURCE_FILE in raw.columns else [])
-    unique = first_per_key(rows, contract.key, event_time, late_horizon, parts)
-    unique = unique.drop(SOURCE_FILE)
+    unique = first_per_key(clean_rows(raw, contract), contract.key, event_time, late_horizon, parts)
     return unique.withColumn(INGESTED_AT, F.current_timestamp() if stamp is None else stamp)
 
 
 def bronze_stream(
     spark: SparkSession, contract: SourceContract, layout: Layout, max_files: int | None = None
-) -> int:
-    """Incoming files to the raw live table; returns the rows added."""
+) -> Drained:
+    """Incoming files to the raw live table."""
     raw = read_stream(spark, contract, layout.incoming(contract.name), max_files)
     return drain(
         raw,
@@ -135,11 +157,11 @@ def silver_stream(
     contract: SourceContract,
     layout: Layout,
     late_horizon: str | None = None,
-    parts: int = DEDUPE_PARTS,
+    parts: int | None = None,
     max_files: int | None = None,
     by_day: bool = False,
-) -> int:
-    """Raw live table to the cleaned live table; returns the rows added.
+) -> Drained:
+    """Raw live table to the cleaned live table.
 
     ``by_day`` partitions the cleaned table by the day of the reading, in ``reading_date``.
     """
@@ -158,9 +180,15 @@ def silver_stream(
 
 
 def run_live(
-    spark: SparkSession, contract: SourceContract, layout: Layout, late_horizon: str | None = None
+    spark: SparkSession,
+    contract: SourceContract,
+    layout: Layout,
+    late_horizon: str | None = None,
+    parts: int | None = None,
+    max_files: int | None = None,
+    by_day: bool = False,
 ) -> LiveRun:
-    """Both streams in order, each until it is drained."""
-    bronze = bronze_stream(spark, contract, layout)
-    silver = silver_stream(spark, contract, layout, late_horizon)
-    return LiveRun(bronze, silver)
+    """Both streams in order, each until it is drained, in batches of ``max_files`` files at most."""
+    bronze = bronze_stream(spark, contract, layout, max_files)
+    silver = silver_stream(spark, contract, layout, late_horizon, parts, max_files, by_day)
+    return LiveRun(bronze.added, silver.added, bronze.total, silver.total, bronze.late + silver.late)

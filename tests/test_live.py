@@ -42,11 +42,11 @@ def layout(tmp_path):
 def test_two_runs_and_a_rerun(spark, layout):
     first = [reading(f"s{i}", START) for i in range(5)] + [reading("s0", START), reading("  ", START), reading("s9", "soon")]
     deliver(layout, "one", first)
-    assert run_live(spark, SENSORS, layout) == LiveRun(8, 5)
+    assert run_live(spark, SENSORS, layout) == LiveRun(8, 5, 8, 5)
     second = [reading("S1 ", START), reading("s7", START, ph="oops", status="fault")]
     deliver(layout, "two", second)
-    assert run_live(spark, SENSORS, layout) == LiveRun(2, 1)
-    assert run_live(spark, SENSORS, layout) == LiveRun(0, 0)
+    assert run_live(spark, SENSORS, layout) == LiveRun(2, 1, 10, 6)
+    assert run_live(spark, SENSORS, layout) == LiveRun(0, 0, 10, 6)
     silver = read_table(spark, layout.live_silver("sensors"))
     assert silver.columns == [*SENSORS.column_names, INGESTED_AT]
     rows = {r.sensor_id: r for r in silver.collect()}
@@ -62,18 +62,19 @@ def test_two_runs_and_a_rerun(spark, layout):
 @pytest.mark.parametrize("parts", [1, 8])
 def test_conflicting_copies_leave_one_row(spark, layout, parts):
     deliver(layout, "one", [reading("s1", START, ph=str(i % 14)) for i in range(200)])
-    assert bronze_stream(spark, SENSORS, layout) == 200
-    assert silver_stream(spark, SENSORS, layout, parts=parts) == 1
+    assert bronze_stream(spark, SENSORS, layout).added == 200
+    assert silver_stream(spark, SENSORS, layout, parts=parts).added == 1
     deliver(layout, "two", [reading("s1", START, ph="3")])
     bronze_stream(spark, SENSORS, layout)
-    assert silver_stream(spark, SENSORS, layout, parts=parts) == 0
+    assert silver_stream(spark, SENSORS, layout, parts=parts).added == 0
 
 
 def test_late_rows(spark, layout):
     days = [START + dt.timedelta(days=d) for d in (20, 10, 0)]
     for i, day in enumerate(days):
         deliver(layout, str(i), [reading(f"s{j}", day) for j in range(3)])
-        run_live(spark, SENSORS, layout, late_horizon="1 day")
+        run = run_live(spark, SENSORS, layout, late_horizon="1 day")
+    assert run.late_rows_dropped == 3 and run.silver_rows == 0 and run.bronze_total == 9
     kept = {r.timestamp for r in read_table(spark, layout.live_silver("sensors")).collect()}
     assert days[0] in kept and days[2] not in kept
 
@@ -88,7 +89,7 @@ def test_without_horizon_late_rows_are_kept(spark, layout):
 def test_cleaned_table_by_day(spark, layout):
     deliver(layout, "one", [reading("s", START), reading("s", START + dt.timedelta(days=1))])
     bronze_stream(spark, SENSORS, layout, max_files=1)
-    assert silver_stream(spark, SENSORS, layout, by_day=True, max_files=1) == 2
+    assert silver_stream(spark, SENSORS, layout, by_day=True, max_files=1).added == 2
     table = read_table(spark, layout.live_silver("sensors"))
     assert {str(r.reading_date) for r in table.collect()} == {"2024-01-01", "2024-01-02"}
     assert table.where("reading_date = '2024-01-02'").count() == 1
@@ -100,3 +101,10 @@ def test_failure_is_raised(spark, layout):
         f.write("wrong,header\n1,2\n")
     with pytest.raises(StreamingQueryException):
         run_live(spark, SENSORS, layout)
+
+
+def test_many_small_batches_are_all_counted(spark, layout):
+    for i in range(12):
+        deliver(layout, str(i), [reading("hot", START), reading(f"s{i}", START)])
+    run = run_live(spark, SENSORS, layout, max_files=1)
+    assert (run.bronze_rows, run.silver_rows, run.silver_total) == (24, 13, 13)

@@ -26,7 +26,7 @@ from fieldlake.sources.batch import (
     write_counted,
     write_table,
 )
-from fieldlake.sources.inventory import compare_file_trees
+from fieldlake.sources.inventory import compare_file_trees, file_inventory, landed_files
 from fieldlake.sources.layout import Layout, choose_layout
 
 STAMP = dt.datetime(2024, 2, 1)
@@ -139,8 +139,57 @@ def test_file_trees(spark, tmp_path):
     assert {r.file: r.status for r in found.collect()} == {
         "same": "same", "x/changed": "changed", "left": "left_only", "right": "right_only",
     }
-    large = compare_file_trees(spark, str(tmp_path / "a"), str(tmp_path / "b"), max_hashed=0)
-    assert {r.file: r.status for r in large.collect()}["same"] == "same_length"
+    named = compare_file_trees(spark, f"file://{tmp_path / 'a'}", str(tmp_path / "b"))
+    assert {r.file: r.status for r in named.collect()} == {r.file: r.status for r in found.collect()}
+
+
+def test_inventory_does_not_depend_on_splits(spark, tmp_path):
+    lines = [f"line {i} {'x' * (i % 50)}" for i in range(20_000)]
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "a b").write_text("\n".join(lines) + "\n")
+    swapped = [lines[1], lines[0], *lines[2:]]
+    (tmp_path / "swapped").write_text("\n".join(swapped) + "\n")
+    (tmp_path / "returns").write_text("\r\n".join(lines) + "\r\n")
+    whole = {r.file: r for r in file_inventory(spark, str(tmp_path)).collect()}
+    assert "empty" not in whole and whole["a b"].lines == 20_000
+    assert len({whole[name].digest for name in ("a b", "swapped", "returns")}) == 3
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        split = file_inventory(spark, str(tmp_path))
+        assert {r.file: r for r in split.collect()} == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_landed_files(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    chosen = {name: BATCH_SOURCES[name] for name in ("harvest", "equipment", "finance")}
+    write_csv(tmp_path / "landing/harvest" / HARVEST.file_name, HARVEST, ROW, ROW)
+    write_csv(tmp_path / "landing/equipment" / chosen["equipment"].file_name, chosen["equipment"])
+    write_csv(tmp_path / "landing/harvest/copy.csv", HARVEST, ROW)
+    found = {r.name: (r.status, r.files, r.rows) for r in landed_files(spark, layout, chosen).collect()}
+    assert found == {
+        "harvest": ("ok", 1, 2), "equipment": ("empty", 1, 0), "finance": ("missing", 0, None),
+        "harvest/copy.csv": ("stranger", 1, None),
+    }
+
+
+def test_views_prune_days_and_keep_widths(spark, tmp_path):
+    layout = Layout(str(tmp_path), facts_by_day=True)
+    late = {**ROW, "harvest_id": "hvt-2", "timestamp": "2024-01-02 08:00:00"}
+    write_csv(tmp_path / "landing/harvest" / HARVEST.file_name, HARVEST, ROW, late)
+    run_batch(spark, layout, STAMP, sources=["harvest"])
+    view = serving_views(spark, layout, {"fact_harvest": SERVING["fact_harvest"]})["fact_harvest"]
+    day = view.where("harvest_date >= '2024-01-02'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "harvest_date" in filters and [r.harvest_id for r in day.collect()] == ["HVT-2"]
+    write_csv(tmp_path / "landing/harvest" / HARVEST.file_name, HARVEST, {**ROW, "block_id": "b" * 51})
+    run_batch(spark, layout, STAMP, sources=["harvest"])
+    views = serving_views(spark, layout, {"fact_harvest": SERVING["fact_harvest"]})
+    with pytest.raises(Exception, match="block_id is longer than 50"):
+        views["fact_harvest"].collect()
 
 
 def test_scratch_is_new_each_time(spark):
