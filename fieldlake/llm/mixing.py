@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fieldlake.llm.common import saved, word_count
 
 SEED = 20_241
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 FAN_IN = 64
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
