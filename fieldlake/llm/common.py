@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fieldlake.session import scratch_folder
 
@@ -45,3 +45,19 @@ def row_wise(function: Callable, returns: str) -> Callable[..., Column]:
         return pd.Series([function("" if v is None else v) for v in values], dtype=object)
 
     return batch
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each component of ``rows`` (``doc_id, text_hash, component``) the document that comes first, with all its columns."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    chosen = rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
+    plain = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    whole = docs.select(
+        F.struct("*").alias("row"), docs[id_col].alias("doc_id"),
+        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_hash"), F.xxhash64(*plain).alias("turn"),
+    )
+    kept = whole.join(
+        chosen, whole.doc_id.eqNullSafe(chosen.doc_id) & (whole.text_hash == chosen.text_hash), "left_semi"
+    )
+    one = Window.partitionBy("doc_id", "text_hash").orderBy("turn")
+    return kept.withColumn("copy", F.row_number().over(one)).where("copy = 1").select("row.*")

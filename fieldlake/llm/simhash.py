@@ -12,9 +12,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from fieldlake.llm.common import parts_for, row_wise, saved, texts
+from fieldlake.llm.common import one_of_each, parts_for, row_wise, saved, texts
 from fieldlake.llm.components import components
 
 SEED = 42
@@ -175,16 +175,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows without an id go before none that has one. Of rows that repeat an id and text one stays.
     """
-    rows = simhash_components(docs, id_col, text_col)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
-    chosen = rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
-    plain = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    whole = docs.select(
-        F.struct("*").alias("row"), docs[id_col].alias("doc_id"),
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_hash"), F.xxhash64(*plain).alias("turn"),
-    )
-    kept = whole.join(
-        chosen, whole.doc_id.eqNullSafe(chosen.doc_id) & (whole.text_hash == chosen.text_hash), "left_semi"
-    )
-    one = Window.partitionBy("doc_id", "text_hash").orderBy("turn")
-    return kept.withColumn("copy", F.row_number().over(one)).where("copy = 1").select("row.*")
+    return one_of_each(docs, simhash_components(docs, id_col, text_col), id_col, text_col)

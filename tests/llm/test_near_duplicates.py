@@ -1,11 +1,12 @@
 import hashlib
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F, types as T
-from fieldlake.llm import embeddings, simhash, spotsigs
+from fieldlake.llm import embeddings, minhash, simhash, spotsigs
 from fieldlake.llm.components import components
 
 
@@ -170,3 +171,72 @@ def test_similar_documents_against_all_pairs(docs):
     each = sorted(classes.values(), key=lambda x: x[0])
     want = {(a, b) for i, (a, x) in enumerate(each) for b, y in each[i + 1 :] if len(x & y) / len(x | y) >= 0.5}
     assert {(r.a, r.b) for r in spotsigs.similar_documents(docs, 0.5).collect()} == want and want
+
+
+def brute_shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def edited(rows, seed=7):
+    """Each text of 100 to 600 words again with one to six words replaced, under ids of their own."""
+    rng, out = random.Random(seed), []
+    for d, t in rows:
+        words = t.split()
+        if 100 <= len(words) <= 600:
+            for n in (1, 2, 4, 6):
+                changed = list(words)
+                for at in rng.sample(range(len(words)), n):
+                    changed[at] = f"new{rng.randrange(10**6)}"
+                out.append((1_000_000 + len(out), " ".join(changed)))
+    return out
+
+
+def test_near_dedup_finds_every_pair_alike_by_four_fifths(spark, docs, odd, none):
+    given = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    odd_rows = [(None if r.doc_id is None else r.doc_id + 10_000, r.text) for r in odd.select("doc_id", "text").collect()]
+    given = [r for r in given if len(r[1].split()) <= 600][:70]
+    rows = given + edited(given) + [r for r in odd_rows if len(r[1] or "") < 100_000]
+    sets = [brute_shingles(t or "") for _, t in rows]
+    like = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    close = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if like(x, y) >= 0.8}
+    # recall over pairs of different sets, that of SimHash within two bits beside it
+    pairs = [(i, j) for i, j in close if i < j and sets[i] != sets[j]]
+    keys = [set(minhash.band_keys(minhash.shingle_set(t or "")).tolist()) for _, t in rows]
+    prints = [simhash.fingerprint(t or "") for _, t in rows]
+    recall = np.mean([bool(keys[i] & keys[j]) for i, j in pairs])
+    by_bits = np.mean([((prints[i] ^ prints[j]) & (1 << 64) - 1).bit_count() <= 2 for i, j in pairs])
+    print(f"pairs {len(pairs)}, recall {recall:.4f}, of SimHash {by_bits:.4f}")
+    assert len(pairs) > 300 and recall > 0.999 and by_bits < 0.5
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    seen, want = set(), []
+    for k in order:
+        if k in seen:
+            continue
+        want.append(rows[k][0])
+        queue = [k]
+        while queue:
+            x = queue.pop()
+            if x not in seen:
+                seen.add(x)
+                queue += [j for j in range(len(rows)) if (x, j) in close]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r.doc_id for r in corpus_pipeline.near_dedup(spark, table, "").collect()]
+    key = lambda x: (x is None, x or 0)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert minhash.jaccard_components(none).count() == 0
+
+
+def test_pairs_beside_the_head_of_a_band_are_verified(spark):
+    """A chain whose ends are less alike than its neighbours hangs together whichever node is the head."""
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for i in range(40):
+        rows.append((i, " ".join(words)))
+        for at in range(7 * i % 290, 7 * i % 290 + 6):
+            words[at] = f"w{rng.randrange(10**6)}"
+    rows += [(100 + i, " ".join(f"x{rng.randrange(10**6)}" for _ in range(50))) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.jaccard_components(table).collect()}
+    assert all(got[i] == 0 for i in range(40)) and all(got[100 + i] == 100 + i for i in range(5))
