@@ -1,9 +1,11 @@
 """Line dedup by site: lines that over a given share of a host's pages hold are boilerplate and go.
 
 Defined results: lines are compared trimmed of blanks, tabs and carriage returns; blank lines are
-never counted nor dropped; a line of a single page is never boilerplate; a null text stays null and counts as a page without lines; a null host is a
-host of its own; a host of fewer than ``min_pages`` pages loses nothing; repeated rows are pages of
-their own; a page may be left with an empty text, but stays; all columns pass through, whatever their names.
+never counted nor dropped; a line of a single page, or of fewer than ``min_count``, is never
+boilerplate; a null text stays null and counts as a page without lines; a null host is a host of its
+own; a host of fewer than ``min_pages`` pages loses nothing; repeated rows are pages of their own,
+unless ``copies`` is false: then equal texts of a host count as one page; a page may be left with an
+empty text, but stays; all columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,23 +27,30 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host: Column, text: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    host: Column,
+    text: Column,
+    max_ratio: float = MAX_RATIO,
+    min_pages: int = MIN_PAGES,
+    min_count: int = 2,
+    copies: bool = True,
 ) -> DataFrame:
     """``host, lines``: hashes of the lines that more than ``max_ratio`` of a host's pages hold.
 
     A page is counted once for a line, before anything is shuffled. A host has fewer such lines than
     a mean page of it has lines, divided by the ratio, so they are held as one array.
     """
-    rows = pages.select(host.alias("host"), text.alias("text"))
-    totals = rows.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    rows = pages.select(host.alias("host"), text.alias("text"), F.xxhash64(text).alias("page"))
+    times = F.count("*") if copies else F.count_distinct("page")
+    totals = rows.groupBy("host").agg(times.alias("pages")).where(F.col("pages") >= min_pages)
     own = F.array_distinct(F.transform(_lines(F.col("text")), _key))
     counts = (
-        rows.select("host", F.explode(own).alias("line"))
+        rows.select("host", "page", F.explode(own).alias("line"))
         .where(F.col("line") != _key(F.lit("")))
-        .groupBy("host", "line").agg(F.count("*").alias("n"))
+        .groupBy("host", "line").agg(times.alias("n"))
     )
     at = totals.select(F.col("host").alias("site"), "pages")
-    common = counts.where("n > 1").join(at, counts.host.eqNullSafe(at.site)).where(
+    common = counts.where(F.col("n") >= max(2, min_count)).join(at, counts.host.eqNullSafe(at.site)).where(
         F.col("n") > F.lit(max_ratio) * F.col("pages")
     )
     return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
@@ -54,12 +63,14 @@ def drop_boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
     counts_as: str | None = None,
+    min_count: int = 2,
+    copies: bool = True,
 ) -> DataFrame:
     """The pages with their columns, ``text_col`` without boilerplate lines.
 
     ``counts_as`` names a struct column to add: ``lines``, ``dropped``.
     """
-    found = boilerplate(pages, host, F.col(text_col), max_ratio, min_pages)
+    found = boilerplate(pages, host, F.col(text_col), max_ratio, min_pages, min_count, copies)
     salted = found.select(
         F.col("host").alias("site"), "lines", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("site_salt")
     )

@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,30 @@ def test_hosts(spark):
     urls = ["http://A.example.org/x?y", "ftp://h:80", "no address", None, "https:///p"]
     got = [r.h for r in spark.createDataFrame([(u,) for u in urls], "u string").select(boilerplate.url_host(F.col("u")).alias("h")).collect()]
     assert got == ["a.example.org", "h:80", None, None, None]
+
+
+def test_line_dedup_takes_repeated_lines_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lines = lambda text: [x.strip(" \t\r") for x in text.split("\n")]
+    given = {r.doc_id: r for r in docs.collect()}
+    texts, holders = defaultdict(set), defaultdict(set)
+    for r in given.values():
+        texts[r.source].add(r.text)
+        for x in lines(r.text):
+            holders[r.source, x].add(r.text)
+    common = {(s, x) for (s, x), held in holders.items() if x and len(held) >= 5 and len(held) > 0.05 * len(texts[s])}
+    assert {s for s, _ in common} == set(texts) and len(common) < 2 * len(texts)
+    gone = 0
+    for r in corpus_pipeline.line_dedup(spark, docs, "").collect():
+        want = [x for x in given[r.doc_id].text.split("\n") if (r.source, x.strip(" \t\r")) not in common]
+        assert r.text == "\n".join(want) and r.n_chars == len(r.text)
+        gone += r.text != given[r.doc_id].text
+    assert gone > 500
+
+
+def test_copies_of_a_text_are_one_page_and_few_texts_prove_nothing(spark):
+    rows = [(i, "s", "copied line\nand another") for i in range(30)] + [(100 + i, "s", f"own {i}\nfooter") for i in range(6)]
+    rows += [(200 + i, "small", f"mine {i}\nfooter") for i in range(4)] + [(300, "s", None)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, source string, text string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got[0] == "copied line\nand another" and got[100] == "own 0" and got[200] == "mine 0\nfooter" and got[300] is None
