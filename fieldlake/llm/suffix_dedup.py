@@ -6,8 +6,8 @@ repeated, and the bytes that repeated windows cover go. Windows are dealt by the
 once need no look. The different segments of a group of anchors are indexed together (``runindex``),
 a segment that occurs several times being one string of that multiplicity, and the statistics are
 streamed along them. An anchor with more text than one task should hold is dealt again by what the
-windows near it have in common, at last by whole windows, so no group grows with the corpus unless
-the windows themselves are equal, and equal ones are one string.
+windows near it have in common, at last by whole windows, which are counted by their hashes and not
+indexed, so no index grows with the corpus, however many equal windows there are.
 
 Defined results: a null text is empty; rows that repeat an id and text are documents of their own, so
 their windows repeat; rows without an id are documents like any other; texts shorter than ``length``
@@ -33,7 +33,7 @@ GRAM = 32
 #: Text of one index, and of one anchor before its windows are dealt again.
 INDEX_BYTES = 1 << 20
 HOT_BYTES = 8 << 20
-#: Neighbouring windows that stay together when a hot anchor is dealt again, then again.
+#: Neighbouring windows that stay together when a hot anchor is dealt again, then again; at last single windows.
 SPLITS = (32, 1)
 
 _BYTES = np.random.default_rng(400).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -125,6 +125,15 @@ def _groups(strings: DataFrame) -> DataFrame:
     return strings.groupBy("group").agg(F.sum(F.length("data").cast("long")).alias("bytes"), F.sum("times").alias("all"))
 
 
+def _equal_windows(strings: DataFrame, length: int) -> DataFrame:
+    """Strings of one window each, marked whole where their windows occur more than once; told apart by two hashes, no index."""
+    each = strings.select("group", F.xxhash64("data").alias("window"), "h", "sh", "n", "cut", "times")
+    often = saved(each.groupBy("group", "window").agg(F.sum("times").alias("all")).where("all > 1"), "windows")
+    return each.join(often.drop("all"), ["group", "window"]).select(
+        "h", "sh", "n", F.col("cut").alias("from"), (F.col("cut") + length).cast("int").alias("to")
+    )
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``key, from, to``: stretches of repeated windows of the documents of ``keyed``; they may overlap."""
     found = saved(
@@ -154,21 +163,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
         "strings",
     )
     marks = None
-    for block in (*SPLITS, None):
+    for block in SPLITS:
         sizes = _groups(strings) if marks is None else saved(_groups(strings).where("all > 1"), "groups")
         total, most = sizes.agg(F.sum("bytes"), F.max("bytes")).first()
         fit = strings if marks is None and (most or 0) <= hot_bytes else strings.join(
-            sizes.where(F.col("bytes") <= hot_bytes) if block else sizes, "group"
+            sizes.where(F.col("bytes") <= hot_bytes), "group"
         ).select(strings.columns)
         parts = parts_for(total or 0, INDEX_BYTES)
         done = fit.groupBy(F.pmod(F.xxhash64("group"), F.lit(parts)).alias("part")).applyInPandas(
             _indexer(length), "h long, sh long, n int, from int, to int"
         )
         marks = done if marks is None else marks.unionByName(done)
-        if (most or 0) <= hot_bytes or block is None:
+        if (most or 0) <= hot_bytes:
             break
         hot = strings.join(sizes.where(F.col("bytes") > hot_bytes).select("group"), "group").select(strings.columns)
         strings = saved(hot.mapInPandas(_dealer(length, block), STRING), "strings")
+    else:
+        marks = marks.unionByName(_equal_windows(strings, length))
     spans = saved(marks.groupBy("h", "sh").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "spans")
     return shared.join(spans, ["h", "sh"]).select("key", "start", F.explode("spans").alias("s")).select(
         "key", (F.col("start") + F.col("s.from")).alias("from"), (F.col("start") + F.col("s.to")).alias("to")

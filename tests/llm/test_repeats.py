@@ -133,3 +133,28 @@ def test_long_texts_are_cut_between_words():
     whole = substring_dedup.word_codes([raw, b"", b" a  b ", raw + b" z"])
     assert [x.tolist() for x in cut] == [x.tolist() for x in whole]
     assert [len(x) for x in whole] == [2_000, 0, 2, 2_001]
+
+
+def test_equal_windows_of_different_segments_never_fill_an_index(spark, monkeypatch):
+    rng = random.Random(4)
+    draw = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = draw(150)
+    rows = [(i, draw(80) + passage + draw(80)) for i in range(40)] + [(50, draw(300))]
+    plain, hot = suffix_dedup._indexer, 2_000
+
+    def bounded(length):
+        index = plain(length)
+
+        def looked(frame):
+            held = frame["data"].str.len().groupby(frame["group"]).sum()
+            if len(held) and held.max() > hot:
+                raise ValueError(f"{held.max()} bytes of one group in an index")
+            return index(frame)
+
+        return looked
+
+    monkeypatch.setattr(suffix_dedup, "_indexer", bounded)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = found_bytes(suffix_dedup.remove_repeats(table, length=100, hot_bytes=hot))
+    assert found == brute_bytes([t.encode() for _, t in rows], 100)
+    assert sum(x[1] for x in found) >= 40 * 150
