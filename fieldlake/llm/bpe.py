@@ -2,10 +2,10 @@
 
 A text is halved until its pieces are short. A piece is held as its stable middle, already token ids,
 and the text on either side that a neighbour might still change. Joining two neighbours encodes the
-window between their middles. Where a letter, digit or ASCII sign is followed by a blank or a line
-break, every parse by the pattern ends a match: no match holds something else before a blank, none
-looks further than the first character that is not white space, and matches know nothing of what came
-before. Tokens beyond such a cut cannot change, so a window grows from the seam to the nearest cut on
+window between their middles. Where a letter, digit or ASCII sign is followed by a blank or a line break, or
+a letter or digit by a sign, every parse by the pattern ends a match: letters and digits match with their
+own kind alone, no match holds something else before a blank, none looks further than the first character
+that is not white space, and matches know nothing of what came before. Tokens beyond such a cut cannot change, so a window grows from the seam to the nearest cut on
 either side, and over whole neighbours that have none. Joining is associative: halves of one task and
 chunks of a very long text dealt over many tasks are joined by the same rule. Decoding joins bytes.
 
@@ -16,24 +16,34 @@ like any other; other columns are never read.
 from __future__ import annotations
 
 import base64
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fieldlake.llm.common import saved, texts
+from fieldlake.llm.repeats import slices
 
 LEAF_CHARS = 4_096
 #: Texts of more characters are dealt over several tasks.
 CHUNK_CHARS = 65_536
 FAN_IN = 8
+#: Bytes of text that a task encodes before it gives the results on.
+SLICE_BYTES = 1 << 20
 #: Ids that one step of decoding looks up.
 DECODE_IDS = 65_536
-CUT = regex.compile(r"[\p{L}\p{N}!-~](?=[ \n])")
+#: Letters and signs of common scripts, which every version of Unicode knows as such (fixed values).
+_LETTER = r"[a-zA-ZÀ-ÖØ-öА-яぁ-ゖァ-ヺ一-龥가-힣]"
+_SIGN = r"[!-@\[-`{-~、。！，：；？]"
+CUT = regex.compile(rf"[\p{{L}}\p{{N}}!-~](?=[ \n])|{_LETTER}(?={_SIGN})|[0-9](?=[!-/:-~、。！，：；？])")
 EMPTY = np.empty(0, "<u4")
 
 
@@ -136,6 +146,23 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+#: What ``encode_documents`` can return of a document besides its id and number of tokens.
+OUTPUTS = ("ids", "decoded", "ids_sha256", "decoded_sha256")
+
+
+def _results(own: Codec, ids: list[np.ndarray], doc_ids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
+    """The wanted columns; ids are encoded and decoded in the same call, and looked at once."""
+    raw = [x.tobytes() for x in ids]
+    words = [own.decode(x) for x in ids] if any(c.startswith("decoded") for c in schema.names) else []
+    columns = {
+        "n_tokens": lambda: [len(x) for x in ids], "ids": lambda: raw, "decoded": lambda: words,
+        "ids_sha256": lambda: [hashlib.sha256(x).hexdigest() for x in raw],
+        "decoded_sha256": lambda: [hashlib.sha256(x).hexdigest() for x in words],
+    }
+    made = [pa.array(columns[field.name](), field.type) for field in list(schema)[1:]]
+    return pa.RecordBatch.from_arrays([doc_ids, *made], schema=schema)
+
+
 def encode_documents(
     docs: DataFrame,
     ranks_path: str,
@@ -145,18 +172,33 @@ def encode_documents(
     leaf_chars: int = LEAF_CHARS,
     chunk_chars: int = CHUNK_CHARS,
     fan_in: int = FAN_IN,
+    outputs: tuple[str, ...] = ("ids",),
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, ids``, the ids as little-endian unsigned 32-bit integers."""
+    """One row per document: ``doc_id, n_tokens`` and the ``outputs``.
+
+    ``ids`` are little-endian unsigned 32-bit integers and ``decoded`` the bytes that they stand for, both
+    also as SHA-256 in hex. A text is encoded once, and its ids decoded in the same call; rows of a slice
+    that hold equal texts share the work.
+    """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     rows = texts(docs, id_col, text_col).withColumn("n", F.char_length("text"))
+    kind = rows.schema["doc_id"].dataType
+    types = {c: ("string", pa.string()) if c.endswith("sha256") else ("binary", pa.binary()) for c in OUTPUTS}
+    declared = f"doc_id {kind.simpleString()}, n_tokens long" + "".join(f", {c} {types[c][0]}" for c in outputs)
+    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), *[(c, types[c][1]) for c in outputs]])
 
-    @F.pandas_udf("binary")
-    def ids_of(text: pd.Series) -> pd.Series:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks.value, pattern)
-        return pd.Series([own.encode(x, leaf_chars).tobytes() for x in text], dtype=object)
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+            seen: dict[str, np.ndarray] = {}
+            some = batch.column("text").to_pylist()
+            for text in some:
+                if text not in seen:
+                    seen[text] = own.encode(text, leaf_chars)
+            yield _results(own, [seen[text] for text in some], batch.column("doc_id"), schema)
 
-    short = rows.where(F.col("n") <= chunk_chars).select("doc_id", ids_of("text").alias("ids"))
+    short = rows.where(F.col("n") <= chunk_chars).select("doc_id", "text").mapInArrow(encoded, declared)
 
     piece_type = "head string, ids binary, tail string"
 
@@ -202,24 +244,20 @@ def encode_documents(
         pieces = pieces.groupBy("row", F.floor(F.col("at") / fan_in).alias("to")).applyInPandas(joined, pieces.schema)
         most = -(-most // fan_in)
 
-    @F.pandas_udf("binary")
-    def finished(head: pd.Series, ids: pd.Series, tail: pd.Series) -> pd.Series:
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks.value, pattern)
-        parts = zip(head, ids, tail, strict=True)
-        return pd.Series([
-            own.finish(Piece(h, None if i is None else np.frombuffer(i, "<u4"), t)).tobytes() for h, i, t in parts
-        ], dtype=object)
-
-    long = pieces.select("doc_id", finished("head", "ids", "tail").alias("ids"))
-    return short.unionByName(long).select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids"
-    )
+        for batch in (whole.slice(k, 1) for whole in batches for k in range(whole.num_rows)):
+            head, ids, tail = (batch.column(c)[0].as_py() for c in ("head", "ids", "tail"))
+            piece = Piece(head, None if ids is None else np.frombuffer(ids, "<u4"), tail)
+            yield _results(own, [own.finish(piece)], batch.column("doc_id"), schema)
+
+    long = pieces.select("doc_id", "head", "ids", "tail").mapInArrow(finished, declared)
+    return short.unionByName(long)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """The rows of ``encoded`` with ``decoded``, the bytes that their ids stand for."""
-    spark = encoded.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     @F.pandas_udf("binary")
     def bytes_of(ids: pd.Series) -> pd.Series:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldlake.llm.boilerplate import MAX_RATIO, MIN_PAGES, drop_boilerplate, tag_lines, url_host
-from fieldlake.llm.bpe import decode_documents, encode_documents
+from fieldlake.llm.bpe import encode_documents
 from fieldlake.llm.codes import ENTRIES, PARTS, ROUNDS, SCALE, books_sha256, product_codes, with_label_error
 from fieldlake.llm.common import WORD, table
 from fieldlake.llm.embeddings import THRESHOLD, embedding_components
@@ -75,10 +75,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = encode_documents(table(spark, sf_dir, "documents"), path, pattern)
-    return decode_documents(encoded, path, pattern).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return encode_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN,
+        outputs=("ids_sha256", "decoded_sha256"),
     )
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -39,12 +40,28 @@ def test_joining_is_associative(codec):
 def test_documents_round_trip(codec, odd, docs, none, chunk):
     for table in (docs, odd.where("text is null or length(text) < 20000") if chunk < 100 else odd):
         rows = sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in table.collect()))
-        out = bpe.decode_documents(bpe.encode_documents(table, PATH, PATTERN, chunk_chars=chunk, fan_in=3), PATH, PATTERN)
-        got = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.decoded).decode(), bytes(r.ids), r.n_tokens) for r in out.collect())
+        out = bpe.encode_documents(table, PATH, PATTERN, chunk_chars=chunk, fan_in=3, outputs=bpe.OUTPUTS).collect()
+        got = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.decoded).decode(), bytes(r.ids), r.n_tokens) for r in out)
+        for r in out:
+            assert r.ids_sha256 == hashlib.sha256(r.ids).hexdigest() and r.decoded_sha256 == hashlib.sha256(r.decoded).hexdigest()
         assert [x[:3] for x in got] == rows
         for *_, text, ids, n in got:
             assert np.frombuffer(ids, "<u4").tolist() == codec.base.encode_ordinary(text) and n == len(ids) // 4
     assert bpe.encode_documents(none, PATH, PATTERN).count() == 0
+    again = bpe.decode_documents(bpe.encode_documents(odd, PATH, PATTERN), PATH, PATTERN).collect()
+    assert sorted(bytes(r.decoded) for r in again) == sorted((r.text or '').encode() for r in odd.collect())
+
+
+def test_one_python_call_a_text(docs):
+    plan = bpe.encode_documents(docs, PATH, PATTERN, outputs=bpe.OUTPUTS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "ArrowEvalPython" not in plan  # short texts, and the roots of long ones
+
+
+def test_a_text_without_blanks_is_cut_too(codec):
+    text = "漢字，かな。" * 3_000 + "abc,def;" * 2_000
+    piece = codec.piece(text)
+    assert len(piece.head) < 10 and len(piece.tail) < 10
+    assert codec.finish(piece).tolist() == codec.base.encode_ordinary(text)
 
 
 def test_held_out_accuracy(spark):
