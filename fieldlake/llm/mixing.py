@@ -5,7 +5,10 @@ A document of a source that is to give ``target`` of its ``source_size`` words i
 and mass (words) moves from one to the other, in a random direction, until one is whole. The words
 of a source and the expected copies of every document stay what they were. Chunks of a source settle
 side by side and leave at most one fraction each; those meet level by level, up a tree, and the last
-one of a source is rounded to the nearer number. Larger documents meet first, so the last is small.
+one of a source is rounded to the nearer number. What that rounding took too many or too few words is made
+up by documents of the last chunk that were rounded, the largest that bring it nearer first, so a source of
+few documents keeps its target as well. Rows that repeat id, text and source are counted and settle as one
+item with their copies together, so a row repeated over and over is one row in its chunk.
 
 Defined results: a null text has size 0; documents of size 0 and sources with target 0 carry no words
 and take the whole part of their copies; a null source is a source of its own, last in order; rows
@@ -27,6 +30,8 @@ FAN_IN = 64
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_COPIES = 2.0
+#: Repeated rows that one row is unfolded into, or ranked, at a time.
+BLOCK_ROWS = 10_000
 
 
 def target_words(
@@ -87,11 +92,25 @@ def settle(size: np.ndarray, due: np.ndarray, chance: np.ndarray) -> np.ndarray:
     return due
 
 
+def made_up(size: np.ndarray, due: np.ndarray, final: np.ndarray) -> np.ndarray:
+    """``final`` with some of its roundings of ``due`` turned over, so that the words taken come near those due."""
+    final = final.copy()
+    over = float((size * (final - due)).sum())
+    for j in np.argsort(-size, kind="stable"):
+        if not 0.0 < due[j] < 1.0:
+            continue
+        turned = over + (size[j] if final[j] == 0 else -size[j])
+        if abs(turned) < abs(over):
+            final[j], over = 1.0 - final[j], turned
+    return final
+
+
 def _settle_group(last: bool):
     def settled(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["size", "mark"], ascending=[False, True], kind="stable")
-        due = settle(*[frame[c].to_numpy(np.float64) for c in ("size", "due", "chance")])
-        return frame.assign(due=np.rint(due) if last else due)
+        size, due, chance = (frame[c].to_numpy(np.float64) for c in ("size", "due", "chance"))
+        final = settle(size, due, chance)
+        return frame.assign(due=made_up(size, due, np.rint(final)) if last else final)
 
     return settled
 
@@ -119,6 +138,7 @@ def mix(
         ),
         "mix",
     )
+    items = rows.groupBy("doc_id", "source", "mark", "size").agg(F.count("*").alias("rows"))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     if targets is None:
         targets = target_words(sources.select("source", "source_size"))
@@ -132,10 +152,11 @@ def mix(
     )
     unit = F.pmod(F.xxhash64(F.lit(seed), "mark", "size"), F.lit(1 << 52)) / F.lit(float(1 << 52))
     per_doc = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    now = rows.join(aims, rows.source.eqNullSafe(aims.aimed)).select(
-        "doc_id", "source", "mark", "size", "source_size", "target",
-        F.floor(per_doc).cast("long").alias("whole"),
-        F.when(F.col("size") > 0, per_doc - F.floor(per_doc)).otherwise(0.0).alias("due"),
+    all_due = per_doc * F.col("rows")
+    now = items.join(aims, items.source.eqNullSafe(aims.aimed)).select(
+        "doc_id", "source", "mark", "size", "rows", "source_size", "target",
+        F.when(F.col("size") > 0, F.floor(all_due)).otherwise(F.floor(per_doc) * F.col("rows")).cast("long").alias("whole"),
+        F.when(F.col("size") > 0, all_due - F.floor(all_due)).otherwise(0.0).alias("due"),
         unit.alias("chance"), F.pmod("mark", "chunks").alias("chunk"),
     )
     chunks = aims.agg(F.max("chunks")).first()[0] or 1
@@ -156,10 +177,16 @@ def mix(
     done = settled[0]
     for more in settled[1:]:
         done = done.unionByName(more)
-    copies = (F.col("whole") + F.col("due").cast("long")).alias("copies")
-    return done.select("doc_id", "source", "mark", "size", "source_size", "target", copies).withColumn(
-        "taken", F.col("copies") * F.col("size")
-    )
+    total = F.col("whole") + F.col("due").cast("long")
+    named = ("doc_id", "source", "mark", "size", "source_size", "target")
+    blocks = done.select(
+        *named, "rows", total.alias("all"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(BLOCK_ROWS).cast("long"))).alias("at"),
+    ).repartition("mark", "at")
+    until = F.least("rows", F.col("at") + BLOCK_ROWS) - 1
+    each = blocks.select(*named, "rows", "all", F.explode(F.sequence("at", until)).alias("turn"))
+    copies = F.floor((F.col("all") + F.col("rows") - 1 - F.col("turn")) / F.col("rows")).cast("long").alias("copies")
+    return each.select(*named, copies).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed_documents(
@@ -168,18 +195,24 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns."""
     rows = mix(docs, targets, id_col, text_col, source_col, seed)
-    copies = rows.groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    aims = copies.where("copies > 0").select(
-        F.col("doc_id").alias("aim_id"), F.col("mark").alias("aim_mark"), "copies", "rows"
-    )
+    aims = rows.groupBy("doc_id", "mark", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).select(
+        F.col("doc_id").alias("aim_id"), F.col("mark").alias("aim_mark"), F.col("source").alias("aim_source"), "copies", "rows"
+    ).where("copies > 0")
     whole = docs.select(
-        F.struct("*").alias("row"), docs[id_col].alias("id"),
+        F.struct("*").alias("row"), docs[id_col].alias("id"), docs[source_col].alias("from"),
         F.xxhash64(docs[id_col], F.coalesce(docs[text_col], F.lit(""))).alias("mark"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    joined = whole.join(aims, whole.id.eqNullSafe(aims.aim_id) & (whole.mark == aims.aim_mark)).withColumn(
-        "turn", F.row_number().over(Window.partitionBy("id", "mark").orderBy(F.lit(0)))
+    same = (
+        whole["id"].eqNullSafe(aims.aim_id) & (whole.mark == aims.aim_mark) & whole["from"].eqNullSafe(aims.aim_source)
     )
-    # rows that repeat an id and text share their copies evenly
-    own = F.floor((F.col("copies") + F.col("rows") - F.col("turn")) / F.col("rows")).cast("int")
-    taken = joined.where(own > 0).select("row", F.explode(F.sequence(F.lit(1), own)).alias("copy"))
+    # rows that repeat an id, text and source share their copies evenly; very many do so in strands
+    strands = F.ceil(F.col("rows") / BLOCK_ROWS)
+    dealt = whole.join(aims, same).withColumn("strand", F.pmod(F.xxhash64("place"), strands))
+    strand = Window.partitionBy("id", "mark", "from", "strand")
+    ranked = dealt.withColumn("turn", F.row_number().over(strand.orderBy("place"))).withColumn("held", F.count("*").over(strand))
+    each = F.floor(F.col("copies") / F.col("rows"))
+    more = F.round(F.pmod("copies", "rows") * F.col("held") / F.col("rows"))
+    own = (each + F.when(F.col("turn") <= more, 1).otherwise(0)).cast("int")
+    taken = ranked.withColumn("own", own).where("own > 0").select("row", F.explode(F.sequence(F.lit(1), "own")).alias("copy"))
     return taken.select("row.*")

@@ -40,6 +40,53 @@ def test_mix_keeps_targets_and_bounds(docs, chunk):
     assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in rows)
 
 
+def test_every_source_comes_near_its_target(spark):
+    rows = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target")
+    ).collect()
+    assert len(rows) == 20 and all(abs(r.taken - r.target) <= 0.01 * r.target for r in rows)
+
+
+def test_one_chunk_against_the_rule_by_hand(spark):
+    """A single source in one chunk: fractions meet largest first, then the last rounding is made up."""
+    docs = spark.createDataFrame([(i, " ".join(["w"] * (1 + i * 7 % 31)), "s") for i in range(60)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("s", 333.0)], "source string, target double")
+    rows = mixing.mix(docs, targets).collect()
+    per = 333.0 / sum(r.size for r in rows)
+    marks = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("mark"), F.xxhash64(F.lit(mixing.SEED), F.xxhash64("doc_id", "text"), F.length(F.replace("text", F.lit(" "))).cast("long")).alias("u")).collect()
+    mark, unit = {r.doc_id: r.mark for r in marks}, {r.doc_id: r.u % (1 << 52) / float(1 << 52) for r in marks}
+    order = sorted(rows, key=lambda r: (-r.size, mark[r.doc_id]))
+    size, due = np.array([r.size for r in order], float), np.full(60, per)
+    final = np.rint(mixing.settle(size, due, np.array([unit[r.doc_id] for r in order])))
+    want = mixing.made_up(size, due, final)
+    assert [r.copies for r in order] == want.tolist()
+    assert abs((want * size).sum() - 333.0) <= abs((final * size).sum() - 333.0) and abs((want * size).sum() - 333.0) < 1
+
+
+def test_a_row_repeated_over_and_over(spark):
+    docs = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot row of five words")).otherwise(F.concat(F.lit("a b c "), F.col("id"))).alias("text"),
+        F.lit("s").alias("source"), F.lit(0).alias("rows"),
+    )
+    targets = spark.createDataFrame([("s", 65_000.0)], "source string, target double")
+    rows = mixing.mix(docs, targets)
+    per = {r.doc_id == 0: r for r in rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("copies").alias("c"), F.max("copies").alias("most")).where("doc_id = 0 or n > 1").collect()}
+    assert per[True].n == 10_000 and per[True].most == 1 and per[True].c == 5_000
+    assert rows.agg(F.sum("taken")).first()[0] == 65_000
+    mixed = mixing.mixed_documents(docs, targets)
+    assert mixed.where("doc_id = 0").count() == 5_000 and mixed.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == 65_000
+
+
+def test_one_id_and_text_under_several_sources(spark):
+    docs = spark.range(400).select("id").join(spark.createDataFrame([("big",), ("small",), (None,)], "source string")).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("six words in each of them "), F.col("id")).alias("text"), "source"
+    )
+    targets = spark.createDataFrame([("big", 0.0), ("small", 4_900.0), (None, 1_400.0)], "source string, target double")
+    mixed = mixing.mixed_documents(docs, targets).groupBy("source").count().collect()
+    assert {r.source: r["count"] for r in mixed} == {"small": 700, None: 200}
+
+
 def test_settling_keeps_words_and_expected_copies():
     size = np.array([9, 8, 7, 5, 5, 4, 3, 2, 1, 1], float)
     rng, total = np.random.default_rng(0), np.zeros(10)
