@@ -141,7 +141,6 @@ FINANCE = SourceContract(
     ),
     trims=("gl_account",),
     ranges=(Range("amount", 0), Range("fiscal_period", 1, 16)),
-    free_text=True,
 )
 
 SENSORS = SourceContract(

@@ -23,7 +23,7 @@ def serving_views(
     """
     views = {}
     for name, contract in contracts.items():
-        table = read_typed(spark, contract, layout.gold(name), layout.table_format)
+        table = read_typed(spark, contract, layout.gold(name), layout.batch_format)
         views[name] = apply_contract(table, contract)
         views[name].createOrReplaceTempView(f"vw_{name}")
     return views

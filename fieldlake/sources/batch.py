@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from fieldlake.contracts import ServingContract, SourceContract
 from fieldlake.errors import SourceError
 from fieldlake.operators.conform import spark_schema
+from fieldlake.sources import versions
+from fieldlake.sources.records import quoted_records
 
 SOURCE_FILE = "_source_file"
 MALFORMED = "_malformed"
@@ -19,12 +21,8 @@ CSV_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "encod
 
 
 def csv_options(contract: SourceContract) -> dict[str, str]:
-    """Options of a contract's files. A header in another order than the contract's is an error.
-
-    Only sources with free text may hold line breaks in a field; their files cannot be split.
-    """
-    multi_line = str(contract.free_text).lower()
-    return {**CSV_DIALECT, "enforceSchema": "false", "multiLine": multi_line, "columnNameOfCorruptRecord": MALFORMED}
+    """Options of a contract's files, a line being a record. A header in another order than the contract's is an error."""
+    return {**CSV_DIALECT, "enforceSchema": "false", "columnNameOfCorruptRecord": MALFORMED}
 
 
 def find_contract(contracts: Mapping[str, SourceContract], name: str) -> SourceContract:
@@ -34,11 +32,17 @@ def find_contract(contracts: Mapping[str, SourceContract], name: str) -> SourceC
 
 
 def _load_csv(spark: SparkSession, contract: SourceContract, path: str, schema: str) -> DataFrame:
-    reader = spark.read.schema(f"{schema}, `{MALFORMED}` string").options(**csv_options(contract))
+    """Rows with their malformed text and their file. Files with free text are cut into records first."""
+    schema, options = f"{schema}, `{MALFORMED}` string", csv_options(contract)
+    records = quoted_records(spark, path, contract.column_names) if contract.free_text else None
+    if records is not None:
+        parsed = records.select("file", F.from_csv("record", schema, {**options, "multiLine": "true"}).alias("row"))
+        return parsed.select("row.*", F.col("file").alias(SOURCE_FILE))
     try:
-        return reader.csv(path)
+        rows = spark.read.schema(schema).options(**options).csv(path)
     except AnalysisException as problem:
         raise SourceError(f"{contract.name}: nothing to read at {path}") from problem
+    return rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
 def read_source(spark: SparkSession, contract: SourceContract, path: str) -> DataFrame:
@@ -46,13 +50,12 @@ def read_source(spark: SparkSession, contract: SourceContract, path: str) -> Dat
 
     The text of a row with a malformed cell is in ``_malformed``.
     """
-    return _load_csv(spark, contract, path, contract.columns)
+    return _load_csv(spark, contract, path, contract.columns).drop(SOURCE_FILE)
 
 
 def read_raw(spark: SparkSession, contract: SourceContract, path: str) -> DataFrame:
     """A CSV source as text, with the file each row came from."""
-    raw = _load_csv(spark, contract, path, contract.text_schema)
-    return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    return _load_csv(spark, contract, path, contract.text_schema)
 
 
 def ingest_raw(
@@ -102,12 +105,14 @@ def write_counted(
     """Write a table and return what was written: ``rows``, and the non-NULL values of the columns
     in ``counts``. Both are observed during the write; nothing is computed twice.
 
-    ``reads`` are the paths the frame comes from. A table may not replace its own input, since the
-    input would be gone before it is read. Partitioned tables are first rebalanced on their
+    With the format ``versioned`` the rows go to a new version of a Parquet table, which readers see when it
+    is complete (see ``versions``). Other formats are replaced in place: ``reads`` are the paths the frame
+    comes from, and a table may not replace its own input, since the input would be gone before it is read.
+    Partitioned tables are first rebalanced on their
     partition columns: a partition becomes a few files of good size, a large one is split.
     """
     for source in reads:
-        if mode == "overwrite" and _overlaps(df.sparkSession, source, path):
+        if mode == "overwrite" and fmt != versions.FORMAT and _overlaps(df.sparkSession, source, path):
             raise SourceError(f"{path} cannot replace {source}, which it is read from")
     seen = Observation()
     measures = [F.count(F.lit(1)).alias("rows")]
@@ -115,6 +120,14 @@ def write_counted(
     counted = df.observe(seen, *measures)
     if partition_by:
         counted = counted.hint("rebalance", *partition_by)
+    if fmt == versions.FORMAT:
+        if mode != "overwrite":
+            raise SourceError(f"{path}: a version holds the whole table, so mode {mode} is not possible")
+        number, folder = versions.next_folder(df.sparkSession, path)
+        counted.write.partitionBy(*partition_by).parquet(folder)
+        written = {name: int(value) for name, value in seen.get.items()}
+        versions.publish(df.sparkSession, path, number, folder, df.dtypes, written)
+        return written
     writer = counted.write.format(fmt).mode(mode).partitionBy(*partition_by)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
@@ -127,8 +140,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> in
     return write_counted(df, path, fmt, **options)["rows"]
 
 
+def _resolved(spark: SparkSession, path: str, fmt: str) -> tuple[str, str]:
+    """The path and format to read: of a table with versions the folder of the current one."""
+    folder = versions.folder_of(spark, path) if fmt in ("parquet", versions.FORMAT) else None
+    return (path, "parquet" if fmt == versions.FORMAT else fmt) if folder is None else (folder, "parquet")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table as it is now; of one with versions the current one, even if it is replaced before the frame is used."""
     try:
+        path, fmt = _resolved(spark, path, fmt)
         return spark.read.format(fmt).load(path)
     except AnalysisException as problem:
         raise SourceError(f"no table at {path}") from problem
@@ -138,11 +159,12 @@ def read_typed(
     spark: SparkSession, contract: ServingContract, path: str, fmt: str = "parquet", view: str | None = None
 ) -> DataFrame:
     """A typed view over files that are already there, without copying them."""
+    where, fmt = _resolved(spark, path, fmt)
     reader = spark.read.format(fmt)
     if fmt != "delta":
         reader = reader.schema(spark_schema(contract))
     try:
-        table = reader.load(path).select(*contract.columns)
+        table = reader.load(where).select(*contract.columns)
     except AnalysisException as problem:
         raise SourceError(f"{contract.name}: no table at {path}") from problem
     if view:

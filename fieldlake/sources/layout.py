@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from fieldlake.errors import SourceError
+from fieldlake.sources.versions import FORMAT as VERSIONED
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,11 @@ class Layout:
     table_format: str = "parquet"
     facts_by_day: bool = False
 
+    @property
+    def batch_format(self) -> str:
+        """The format of tables that a run replaces: Parquet ones are versioned, so that readers never see a gap."""
+        return VERSIONED if self.table_format == "parquet" else self.table_format
+
     def _at(self, *parts: str) -> str:
         return posixpath.join(self.root, *parts)
 
