@@ -23,7 +23,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
@@ -34,40 +33,58 @@ from fieldlake.llm.repeats import slices
 CAPACITY = 4_096
 END_ID = 2
 SMALLEST = 64
-#: Characters encoded at a time; a longer text is cut before words.
-ENCODED_CHARS = 1 << 16
+#: Bytes of a text that are split at a time, of stretches whose ids are kept, and of text packed at a time.
+STRETCHES_BYTES = 1 << 20
+KNOWN_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
 #: Sequences a task may number.
 TASK_BITS = 40
-WORD_START = regex.compile(r"(?<=[a-zA-Z0-9] )(?=[a-zA-Z0-9])")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(model: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_str(model)
-
+class Encoder:
+    """The library's tokenizer, asked once for each stretch between blanks that it has not seen lately.
+
+    The vocabulary's rules drop white space, look at no neighbour beyond it and compose no character across
+    it, and no special token holds any, so the ids of a text are those of its stretches one after another.
+    """
+
+    def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(model)
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def _learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of all these, those known before or asked for now."""
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
+        new = list(stretches.difference(self.known))
+        for x, found in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
+            self.known[x] = np.array(found.ids, "<u4").tobytes()
+            self.held += len(x) + len(self.known[x])
+        return self.known
+
+    def encode(self, some: list[str], end_id: int | None = None) -> list[np.ndarray]:
+        """The ids of each text, and the end id."""
+        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        out = []
+        for text in some:
+            data, at, ids = text.encode(), 0, []
+            while at < len(data):
+                to = data.find(b" ", at + STRETCHES_BYTES)
+                stretches = data[at : to if to >= 0 else len(data)].split()
+                known = self._learn(set(stretches))
+                ids.append(b"".join([known[x] for x in stretches]))
+                at = to if to >= 0 else len(data)
+            out.append(np.frombuffer(b"".join([*ids, end]), "<u4"))
+        return out
 
-def stretches(text: str, size: int = ENCODED_CHARS) -> list[str]:
-    """A text cut at blanks between two ASCII words, where no token and no composed character can lie."""
-    out, at = [], 0
-    while len(text) - at > size:
-        found = WORD_START.search(text, at + size)
-        if not found:
-            break
-        out.append(text[at : found.start()])
-        at = found.start()
-    return [*out, text[at:]]
 
-
-def encode(tokenizer, some: list[str], end_id: int | None) -> list[np.ndarray]:
-    """The ids of each text, and the end id."""
-    cut = [stretches(text) for text in some]
-    encoded = iter(tokenizer.encode_batch_fast([x for each in cut for x in each], add_special_tokens=False))
-    tail = [] if end_id is None else [end_id]
-    return [np.array([i for _ in each for i in next(encoded).ids] + tail, "<u4") for each in cut]
+@lru_cache(maxsize=2)
+def _encoder(model: str) -> Encoder:
+    return Encoder(model)
 
 
 def cut_sizes(n: int, capacity: int = CAPACITY, smallest: int = SMALLEST) -> list[int]:
@@ -161,10 +178,10 @@ def pack_documents(
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model.value)
+        encoder = _encoder(model.value)
         packer = Packer(capacity, TaskContext.get().partitionId() << TASK_BITS)
         for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
-            encoded = encode(tokenizer, batch.column("text").to_pylist(), end_id)
+            encoded = encoder.encode(batch.column("text").to_pylist(), end_id)
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                 at = 0
                 for size in cut_sizes(len(ids), capacity, smallest):

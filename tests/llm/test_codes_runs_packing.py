@@ -270,12 +270,15 @@ def test_sizes_of_pieces():
         assert sum(sizes) == n and all(s >= 64 and 4096 % s == 0 for s in sizes[:-1]) and len(sizes) <= n // 4096 + 7
 
 
-def test_long_texts_are_cut_where_no_token_lies():
-    tokenizer = Tokenizer.from_file(MODEL)
+def test_ids_are_those_of_the_library(monkeypatch):
+    monkeypatch.setattr(packing, "STRETCHES_BYTES", 10)
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 200)
+    with open(MODEL, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
     rng = random.Random(0)
-    alphabet = ["a", "B's ", "9", " ", "  ", "é", "é", " ́", "漢", "\n", "x y", "'ll", "<|endoftext|>", "!?", "　"]
-    for _ in range(200):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80)))
-        parts = packing.stretches(text, 10)
-        assert "".join(parts) == text
-        assert [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
+    alphabet = ["a", "B's ", "9", " ", "  ", "\u0301", "e\u0301", " \u0301", "漢", "\n", "x y", "'ll", "<|endoftext|>", "< |endoftext|>", "!?",
+                "\u3000", "\x1c", "\x85", "\xa0", "Σ", "ΑΣ ", "İ", "\u0344", "\u0327", "ß", "\r\n", "\x0b", "가", "\u1100", "\u1161"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1_500)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(["", " "], 2)[1].tolist() == [2]
