@@ -13,7 +13,7 @@ from fieldlake.plans.batch import run_batch
 from fieldlake.plans.estate import BATCH_SOURCES, MODELS, SENSORS, SERVING
 from fieldlake.plans.serving import serving_views
 from fieldlake.session import scratch_folder
-from fieldlake.sources.batch import CSV_DIALECT, ingest_raw, read_source, read_table
+from fieldlake.sources.batch import CSV_DIALECT, MALFORMED, ingest_raw, read_raw, read_source, read_table
 from fieldlake.sources.inventory import compare_file_trees, landed_files
 from fieldlake.sources.layout import Layout
 from fieldlake.streaming.live import run_live
@@ -57,6 +57,19 @@ def raw_table_sql(name):
     return f"select {listed} from ({raw_sql(name)})"
 
 
+def line_breaks(spark, sf):
+    """Notes with line breaks and quotes in them, written as CSV and read back as text, cut by many tasks."""
+    path = scratch_folder(spark, "breaks")
+    deliver(raw_source(spark, sf, "fertilizer").withColumn("notes", F.concat(F.lit('two\nlines, "'), "application_id", F.lit('"\n'))), path)
+    return read_raw(spark, CONTRACTS["fertilizer"], path).select(*CONTRACTS["fertilizer"].column_names, MALFORMED)
+
+
+def line_breaks_sql():
+    listed = ", ".join(f"nullif({c}, '') as {c}" for c in CONTRACTS["fertilizer"].column_names if c != "notes")
+    notes = "'two' || chr(10) || 'lines, \"' || application_id || '\"' || chr(10)"
+    return f"select {listed}, {notes} as notes, cast(null as varchar) as {MALFORMED} from ({raw_sql('fertilizer')})"
+
+
 def live_table(spark, sf, deliveries):
     """The cleaned live table after each delivery, if there is one, went through both streams."""
     layout = Layout(scratch_folder(spark, "live"))
@@ -264,6 +277,7 @@ def cases():
             f"""select * from ({LIVE}) where "timestamp" >= '2024-01-21' """,
             times=("timestamp",),
         ),
+        "csv_line_breaks": case(line_breaks, line_breaks_sql()),
         "batch_rerun": case(batch_rerun, RERUN_SQL),
         "same_files": case(two_deliveries, TWO_DELIVERIES_SQL),
         "landing_check": case(landing_check, LANDING_SQL),
