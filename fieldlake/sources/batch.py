@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -93,6 +94,17 @@ def _overlaps(spark: SparkSession, one: str, other: str) -> bool:
     return a.startswith(b) or b.startswith(a)
 
 
+def _observed(seen: Observation, names: Sequence[str]) -> dict[str, int]:
+    """What a finished write has counted. Where Spark found while running that there is no row, it drops the
+    counting with the rest of the plan, and an observation without a row is an assertion that fails."""
+    try:
+        return {name: int(value) for name, value in seen.get.items()}
+    except Py4JJavaError as problem:
+        if "AssertionError" not in str(problem.java_exception):
+            raise
+        return dict.fromkeys(names, 0)
+
+
 def write_counted(
     df: DataFrame,
     path: str,
@@ -117,7 +129,7 @@ def write_counted(
     seen = Observation()
     measures = [F.count(F.lit(1)).alias("rows")]
     measures += [F.count(F.col(column)).alias(name) for name, column in (counts or {}).items()]
-    counted = df.observe(seen, *measures)
+    counted, names = df.observe(seen, *measures), ["rows", *(counts or {})]
     if partition_by:
         counted = counted.hint("rebalance", *partition_by)
     if fmt == versions.FORMAT:
@@ -125,14 +137,14 @@ def write_counted(
             raise SourceError(f"{path}: a version holds the whole table, so mode {mode} is not possible")
         number, folder = versions.next_folder(df.sparkSession, path)
         counted.write.partitionBy(*partition_by).parquet(folder)
-        written = {name: int(value) for name, value in seen.get.items()}
+        written = _observed(seen, names)
         versions.publish(df.sparkSession, path, number, folder, df.dtypes, written)
         return written
     writer = counted.write.format(fmt).mode(mode).partitionBy(*partition_by)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
-    return {name: int(value) for name, value in seen.get.items()}
+    return _observed(seen, names)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> int:

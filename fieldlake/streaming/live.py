@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,10 +11,9 @@ from fieldlake.contracts import SourceContract
 from fieldlake.operators.cleaning import INGESTED_AT, clean_rows
 from fieldlake.sources.batch import MALFORMED, SOURCE_FILE, csv_options, path_exists, read_table
 from fieldlake.sources.layout import Layout
+from fieldlake.streaming.once import OncePerKey
 
 READING_DATE = "reading_date"
-# Seconds between two looks at the progress of a running stream, which keeps its last hundred batches.
-LOOK_EVERY = 0.2
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ def read_stream(
 ) -> DataFrame:
     """New CSV files of a folder, as text, with the file each row came from."""
     reader = spark.readStream.schema(f"{contract.text_schema}, `{MALFORMED}` string")
-    reader = reader.options(**csv_options(contract))
+    reader = reader.options(**csv_options(contract), multiLine=str(contract.free_text).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
@@ -70,59 +70,32 @@ def table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     return read_table(spark, path, fmt).count() if path_exists(spark, path) else 0
 
 
-def drain(
-    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
-) -> Drained:
+def drain(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> Drained:
     """Append all that is available to a table and stop.
 
     Added rows are the growth of the table, which has this stream as its only writer. A run that
     fails raises. The next run goes on from the checkpoint.
     """
     before = table_rows(df.sparkSession, path, fmt)
-    writer = (
-        df.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.start(path)
-    late, last, done = 0, -1, False
-    while not done:
-        done = query.awaitTermination(LOOK_EVERY)
-        for seen in query.recentProgress:
-            if seen.batchId > last:
-                last = seen.batchId
-                late += sum(state.numRowsDroppedByWatermark for state in seen.stateOperators)
+    writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(path).awaitTermination()
     total = table_rows(df.sparkSession, path, fmt)
-    return Drained(total - before, total, late)
+    return Drained(total - before, total)
 
 
 def first_per_key(
-    rows: DataFrame,
-    keys: tuple[str, ...],
-    event_time: str | None = None,
-    late_horizon: str | None = None,
-    parts: int | None = None,
+    rows: DataFrame, keys: tuple[str, ...], event_time: str | None = None, late_horizon: str | None = None
 ) -> DataFrame:
-    """One row per key over the life of the stream; which copy arrives first is not specified.
+    """One row per key over the life of a stream that is written by a sink of its own; which copy arrives
+    first is not specified.
 
-    Copies of a key are first reduced within parts, as many as there are shuffle partitions unless
-    ``parts`` says otherwise, and then to one. A row's part is that of the task that reads it, so a
-    key redelivered over and over, in one large file or in many, falls to all parts alike. State is
-    kept for ever unless ``late_horizon`` bounds it: then rows older than that, as seen by an earlier
-    batch, are dropped.
+    A key is one row of state, kept for ever unless ``late_horizon`` bounds it: then rows older than that,
+    as seen by an earlier batch, are dropped. ``once.OncePerKey`` needs no such state.
     """
-    if parts is None:
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if late_horizon:
         rows = rows.withWatermark(event_time, late_horizon)
         if event_time not in keys:
             keys = (*keys, event_time)
-    if parts > 1:
-        part = F.pmod(F.spark_partition_id(), F.lit(parts))
-        rows = rows.withColumn("_part", part).dropDuplicates([*keys, "_part"]).drop("_part")
     return rows.dropDuplicates(list(keys))
 
 
@@ -131,11 +104,10 @@ def clean_stream(
     contract: SourceContract,
     event_time: str = "timestamp",
     late_horizon: str | None = None,
-    parts: int | None = None,
     stamp: Column | None = None,
 ) -> DataFrame:
     """The batch cleaning rules on a stream, then one row per key, stamped with the batch time."""
-    unique = first_per_key(clean_rows(raw, contract), contract.key, event_time, late_horizon, parts)
+    unique = first_per_key(clean_rows(raw, contract), contract.key, event_time, late_horizon)
     return unique.withColumn(INGESTED_AT, F.current_timestamp() if stamp is None else stamp)
 
 
@@ -157,26 +129,24 @@ def silver_stream(
     contract: SourceContract,
     layout: Layout,
     late_horizon: str | None = None,
-    parts: int | None = None,
     max_files: int | None = None,
     by_day: bool = False,
+    event_time: str = "timestamp",
 ) -> Drained:
-    """Raw live table to the cleaned live table.
+    """Raw live table to the cleaned live table, one row per key; of the copies in a batch the first by all columns.
 
     ``by_day`` partitions the cleaned table by the day of the reading, in ``reading_date``.
     """
-    bronze = layout.live_bronze(contract.name)
+    bronze, silver = layout.live_bronze(contract.name), layout.live_silver(contract.name)
+    checkpoint = layout.checkpoint(f"{contract.name}_live_silver")
     raw = read_table_stream(spark, contract, bronze, layout.table_format, max_files)
-    cleaned = clean_stream(raw, contract, late_horizon=late_horizon, parts=parts)
-    if by_day:
-        cleaned = cleaned.withColumn(READING_DATE, F.to_date("timestamp"))
-    return drain(
-        cleaned,
-        layout.live_silver(contract.name),
-        layout.checkpoint(f"{contract.name}_live_silver"),
-        layout.table_format,
-        (READING_DATE,) if by_day else (),
+    sink = OncePerKey(
+        spark, silver, posixpath.join(checkpoint, "batches"), contract.key, event_time, layout.table_format,
+        late_horizon, READING_DATE if by_day else None, INGESTED_AT,
     )
+    writer = clean_rows(raw, contract).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return Drained(sink.added, table_rows(spark, silver, layout.table_format), sink.late)
 
 
 def run_live(
@@ -184,11 +154,10 @@ def run_live(
     contract: SourceContract,
     layout: Layout,
     late_horizon: str | None = None,
-    parts: int | None = None,
     max_files: int | None = None,
     by_day: bool = False,
 ) -> LiveRun:
     """Both streams in order, each until it is drained, in batches of ``max_files`` files at most."""
     bronze = bronze_stream(spark, contract, layout, max_files)
-    silver = silver_stream(spark, contract, layout, late_horizon, parts, max_files, by_day)
+    silver = silver_stream(spark, contract, layout, late_horizon, max_files, by_day)
     return LiveRun(bronze.added, silver.added, bronze.total, silver.total, bronze.late + silver.late)

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,9 @@ from fieldlake.plans.estate import SENSORS
 from fieldlake.plans.serving import live_views
 from fieldlake.sources.batch import read_table
 from fieldlake.sources.layout import Layout
-from fieldlake.streaming.live import LiveRun, bronze_stream, run_live, silver_stream
+from fieldlake.errors import SourceError
+from fieldlake.streaming.live import LiveRun, bronze_stream, clean_stream, drain, read_stream, run_live, silver_stream
+from fieldlake.streaming.once import OncePerKey
 
 
 def deliver(layout, name, rows):
@@ -59,14 +62,15 @@ def test_two_runs_and_a_rerun(spark, layout):
     assert spark.sql("select count(*) as n from vw_kpi_soil_moisture").first().n == 6
 
 
-@pytest.mark.parametrize("parts", [1, 8])
-def test_conflicting_copies_leave_one_row(spark, layout, parts):
+def test_conflicting_copies_leave_one_row(spark, layout):
     deliver(layout, "one", [reading("s1", START, ph=str(i % 14)) for i in range(200)])
     assert bronze_stream(spark, SENSORS, layout).added == 200
-    assert silver_stream(spark, SENSORS, layout, parts=parts).added == 1
+    assert silver_stream(spark, SENSORS, layout).added == 1
     deliver(layout, "two", [reading("s1", START, ph="3")])
     bronze_stream(spark, SENSORS, layout)
-    assert silver_stream(spark, SENSORS, layout, parts=parts).added == 0
+    assert silver_stream(spark, SENSORS, layout).added == 0
+    (row,) = read_table(spark, layout.live_silver("sensors")).collect()
+    assert row.soil_ph == 0.0  # the first of the batch by all columns
 
 
 def test_late_rows(spark, layout):
@@ -108,3 +112,83 @@ def test_many_small_batches_are_all_counted(spark, layout):
         deliver(layout, str(i), [reading("hot", START), reading(f"s{i}", START)])
     run = run_live(spark, SENSORS, layout, max_files=1)
     assert (run.bronze_rows, run.silver_rows, run.silver_total) == (24, 13, 13)
+
+
+KINDS = "sensor_id string, timestamp timestamp, value int"
+
+
+def readings(spark, *rows):
+    return spark.createDataFrame([(s, START + dt.timedelta(days=d), v) for s, d, v in rows], KINDS)
+
+
+def sink(spark, root, **options):
+    options = {"by_day": "day"} | options
+    return OncePerKey(spark, f"{root}/table", f"{root}/log", ("sensor_id", "timestamp"), "timestamp", **options)
+
+
+def test_a_repeated_batch_writes_nothing(spark, tmp_path):
+    one = sink(spark, tmp_path)
+    one(readings(spark, ("a", 0, 1), ("b", 0, 1), ("a", 0, 2)), 0)
+    files = sorted(str(f) for f in (tmp_path / "table").rglob("*.parquet"))
+    again = sink(spark, tmp_path)  # as after a restart
+    again(readings(spark, ("a", 0, 1), ("b", 0, 1), ("a", 0, 2)), 0)
+    assert (one.added, again.added) == (2, 0)
+    assert sorted(str(f) for f in (tmp_path / "table").rglob("*.parquet")) == files
+    again(readings(spark, ("a", 1, 5), ("a", 0, 9)), 1)
+    assert again.added == 1 and read_table(spark, f"{tmp_path}/table").count() == 3
+
+
+def test_a_batch_that_died_after_its_append(spark, tmp_path):
+    one = sink(spark, tmp_path)
+    batch = readings(spark, ("a", 0, 1), ("b", 3, 1))
+    one(batch, 0)
+    (tmp_path / "log" / "000000000000.json").unlink()
+    again = sink(spark, tmp_path)
+    again(batch, 0)
+    assert again.added == 0 and not again.sure and read_table(spark, f"{tmp_path}/table").count() == 2
+    assert again.log.entries[0]["newest"] == "2024-01-04T00:00:00"
+
+
+def test_the_table_is_the_only_state_and_only_the_days_of_a_batch_are_read(spark, tmp_path):
+    one = sink(spark, tmp_path)
+    for day in range(4):
+        one(readings(spark, *[("hot", day, i) for i in range(50)]), day)
+    assert one.added == 4 and read_table(spark, f"{tmp_path}/table").count() == 4
+    shutil.rmtree(tmp_path / "table" / "day=2024-01-01")
+    one(readings(spark, ("hot", 2, 7), ("hot", 3, 7)), 4)
+    assert one.added == 4
+    old = tmp_path / "table" / "day=2024-01-02"
+    for file in old.glob("*.parquet"):
+        file.write_bytes(b"not read")
+    one(readings(spark, ("hot", 2, 7), ("cold", 3, 7)), 5)
+    assert one.added == 5
+
+
+def test_the_log_carries_the_horizon_over_restarts_and_stays_short(spark, tmp_path):
+    sink(spark, tmp_path, horizon="2 days")(readings(spark, ("a", 10, 1)), 0)
+    for number in range(1, 26):
+        late = sink(spark, tmp_path, horizon="2 days")
+        late(readings(spark, ("b", 7, 1), ("c", 8, number), ("d", 9, 1)), number)
+        assert late.late == 1 and late.added == (2 if number == 1 else 0)
+    assert len(late.log.entries) == 20
+    late(readings(spark), 26)
+    assert late.log.newest() == START + dt.timedelta(days=10)
+
+
+def test_keys_without_time_and_null_keys(spark, tmp_path):
+    one = OncePerKey(spark, f"{tmp_path}/table", f"{tmp_path}/log", ("sensor_id",), "timestamp")
+    one(readings(spark, ("a", 0, 1), ("a", 5, 1), (None, 2, 1)), 0)
+    one(readings(spark, ("a", 9, 1), (None, 3, 1), ("b", 1, 1)), 1)
+    assert one.added == 3
+
+
+def test_a_table_of_a_file_sink_is_refused(spark, tmp_path):
+    (tmp_path / "table" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(SourceError, match="file sink"):
+        sink(spark, tmp_path)
+
+
+def test_a_stream_may_keep_state_of_its_own(spark, layout):
+    deliver(layout, "one", [reading("s1", START, ph="3")] * 5 + [reading("s2", START)])
+    cleaned = clean_stream(read_stream(spark, SENSORS, layout.incoming("sensors")), SENSORS, late_horizon="1 day")
+    assert drain(cleaned, layout.root + "/own", layout.checkpoint("own")).added == 2
