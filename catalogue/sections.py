@@ -23,6 +23,10 @@ def _sum(column, name):
     return f"cast(sum(cast({column} as decimal(28,4))) as double) as {name}"
 
 
+def _mean(column, name):
+    return f"cast(sum(cast({column} as decimal(28,10))) as double) / nullif(count({column}), 0) as {name}"
+
+
 def _group(table, by, listed, keep_null=False):
     condition = "" if keep_null else f"where {by} is not null"
     return f"select {by}, {listed} from ({table}) {condition} group by {by}"
@@ -40,7 +44,7 @@ STATUS = f"""select block_id, sensor_id, max("timestamp") as last_reading_ts, co
     count(*) filter (where sensor_status = 'OK') as ok_count,
     count(*) filter (where sensor_status = 'ANOMALY') as anomaly_count,
     count(*) filter (where sensor_status = 'FAULT') as fault_count,
-    round(avg(battery_level_pct), 6) as avg_battery_pct from ({READINGS}) group by block_id, sensor_id"""
+    {_mean('battery_level_pct', 'avg_battery_pct')} from ({READINGS}) group by block_id, sensor_id"""
 
 
 def _overview(spark, sf):
@@ -58,9 +62,9 @@ def _equipment(spark, sf):
 
 def _harvest_kpis_sql(condition="true"):
     return f"""select {KG}, count(*) as operations, count(*) filter (where status = 'COMPLETED') as completed,
-        round(case when count(*) > 0 then 100.0 * cast(count(*) filter (where status = 'COMPLETED') as double) / count(*)
-              else 0.0 end, 6) as completion_rate,
-        round(avg(moisture_pct), 6) as avg_moisture from ({HARVEST}) where {condition}"""
+        case when count(*) > 0 then cast(100 * count(*) filter (where status = 'COMPLETED') as double) / count(*)
+             else 0.0 end as completion_rate,
+        {_mean('moisture_pct', 'avg_moisture')} from ({HARVEST}) where {condition}"""
 
 
 STATUS_COLUMNS = {
@@ -117,8 +121,10 @@ def cases():
                 count(*) as lines,
                 count(*) filter (where debit_credit_indicator = 'S') as debit_lines,
                 count(*) filter (where debit_credit_indicator = 'H') as credit_lines,
-                count(distinct transaction_type) as categories,
-                string_agg(distinct currency, ',' order by currency) as currencies from ({REVENUE})""",
+                count(distinct transaction_type) as categories, count(distinct currency) as currencies from ({REVENUE})""",
+        ),
+        "ledger_currencies": case(
+            _on("fact_revenue", r.ledger_currencies), _group(REVENUE, "currency", f"{AMOUNT}, count(*) as lines")
         ),
         "ledger_trend": case(
             _on("fact_revenue", r.ledger_trend), _group(REVENUE, "posting_date", AMOUNT), dates=("posting_date",)
@@ -133,7 +139,7 @@ def cases():
         "fertilizer_kpis": case(
             _on("fact_fertilizer", r.fertilizer_kpis),
             f"""select {QTY}, count(*) as applications, count(distinct material_id) as materials,
-                count(distinct block_id) as blocks, round(avg(quantity_kg), 6) as avg_kg from ({FERTILIZER})""",
+                count(distinct block_id) as blocks, {_mean('quantity_kg', 'avg_kg')} from ({FERTILIZER})""",
         ),
         "fertilizer_trend": case(
             _on("fact_fertilizer", r.fertilizer_trend),
@@ -194,8 +200,9 @@ def cases():
                 count(*) filter (where sensor_status = 'OK') as ok,
                 count(*) filter (where sensor_status = 'ANOMALY') as anomaly,
                 count(*) filter (where sensor_status = 'FAULT') as fault,
-                (select round(avg(level), 6) from per_sensor) as mean_of_sensor_means,
-                round(avg(battery_level_pct), 6) as mean_of_readings from readings""",
+                (select avg(level) from per_sensor) as mean_of_sensor_means,
+                {_mean('battery_level_pct', 'mean_of_readings')} from readings""",
+            rounded=("mean_of_sensor_means",),
         ),
         "live_health": case(
             _live(r.live_health),

@@ -32,7 +32,8 @@ MINUTES = {"minutes": "duration_minutes"}
 
 
 def _mean(column: str) -> Column:
-    return F.round(F.avg(F.col(column)), 6)
+    """A mean that does not depend on the order of rows, as far as ``exact_sum`` does not."""
+    return F.try_divide(exact_sum(F.col(column)), F.count(column))
 
 
 def _rows(name: str) -> Column:
@@ -110,7 +111,7 @@ def harvest_kpis(harvest: DataFrame) -> DataFrame:
         *sums(harvest, KG).values(),
         rows.alias("operations"),
         completed.alias("completed"),
-        F.round(percent(completed, rows), 6).alias("completion_rate"),
+        percent(completed, rows).alias("completion_rate"),
         _mean("moisture_pct").alias("avg_moisture"),
     )
 
@@ -133,9 +134,9 @@ def harvest_by_grade(harvest: DataFrame) -> DataFrame:
 
 
 def ledger_kpis(ledger: DataFrame) -> DataFrame:
-    """One row: gross of both sides, each side, lines, categories and the currencies in use.
+    """One row: gross of both sides, each side, lines, categories and how many currencies are in use.
 
-    The ledger is read once, into few groups, from which all figures follow.
+    The ledger is read once, into few groups, from which all figures follow. ``ledger_currencies`` lists them.
     """
     side, lines = F.col("debit_credit_indicator"), F.col("lines")
     groups = breakdown(ledger, ["debit_credit_indicator", "transaction_type", "currency"], AMOUNT, rows_as="lines")
@@ -147,10 +148,15 @@ def ledger_kpis(ledger: DataFrame) -> DataFrame:
         F.sum(F.when(side == DEBIT, lines)).alias("debit_lines"),
         F.sum(F.when(side == CREDIT, lines)).alias("credit_lines"),
         F.count_distinct("transaction_type").alias("categories"),
-        F.array_join(F.array_sort(F.collect_set("currency")), ",").alias("currencies"),
+        F.count_distinct("currency").alias("currencies"),
     )
 
 
+def ledger_currencies(ledger: DataFrame) -> DataFrame:
+    """The currencies in use, a row each, with lines and the gross amount in each."""
+    return breakdown(ledger, "currency", AMOUNT, rows_as="lines", drop_null_keys=True)
+
+
 def ledger_trend(ledger: DataFrame) -> DataFrame:
     return _trend(ledger, "posting_date", AMOUNT)
 
@@ -183,7 +189,7 @@ def fertilizer_kpis(fertilizer: DataFrame) -> DataFrame:
         F.sum("applications").alias("applications"),
         F.count_distinct("material_id").alias("materials"),
         F.count_distinct("block_id").alias("blocks"),
-        F.round(F.try_divide(exact_sum(F.col("kg")), F.sum("weighed")), 6).alias("avg_kg"),
+        F.try_divide(exact_sum(F.col("kg")), F.sum("weighed")).alias("avg_kg"),
     )
 
 
@@ -279,7 +285,7 @@ def _per_sensor(readings: DataFrame, *more: Column) -> DataFrame:
         F.max("timestamp").alias("last_reading_ts"),
         _rows("reading_count"),
         *[F.count_if(state == value).alias(f"{name}_count") for name, value in SENSOR_STATES.items()],
-        F.avg("battery_level_pct").alias("avg_battery_pct"),
+        _mean("battery_level_pct").alias("avg_battery_pct"),
         *more,
     )
 
@@ -290,22 +296,21 @@ def live_status(readings: DataFrame, last_status: bool = False) -> DataFrame:
     ``last_status`` adds the state of the newest reading; of two at one time the later by name.
     """
     newest = F.max(F.struct("timestamp", "sensor_status"))["sensor_status"].alias("last_status")
-    status = _per_sensor(readings, *([newest] if last_status else []))
-    return status.withColumn("avg_battery_pct", F.round("avg_battery_pct", 6))
+    return _per_sensor(readings, *([newest] if last_status else []))
 
 
 def live_kpis(readings: DataFrame) -> DataFrame:
     """One row over all sensors. ``mean_of_sensor_means`` gives every sensor the same weight,
     ``mean_of_readings`` every reading."""
     per_sensor = _per_sensor(
-        readings, F.sum("battery_level_pct").alias("_sum"), F.count("battery_level_pct").alias("_n")
+        readings, exact_sum(F.col("battery_level_pct")).alias("_sum"), F.count("battery_level_pct").alias("_n")
     )
     return per_sensor.agg(
         F.count_distinct("sensor_id").alias("sensors"),
         F.sum("reading_count").alias("readings"),
         *[F.sum(f"{name}_count").alias(name) for name in SENSOR_STATES],
-        F.round(F.avg("avg_battery_pct"), 6).alias("mean_of_sensor_means"),
-        F.round(F.try_divide(F.sum("_sum"), F.sum("_n")), 6).alias("mean_of_readings"),
+        _mean("avg_battery_pct").alias("mean_of_sensor_means"),
+        F.try_divide(exact_sum(F.col("_sum")), F.sum("_n")).alias("mean_of_readings"),
     )
 
 
