@@ -240,3 +240,41 @@ def test_pairs_beside_the_head_of_a_band_are_verified(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.jaccard_components(table).collect()}
     assert all(got[i] == 0 for i in range(40)) and all(got[100 + i] == 100 + i for i in range(5))
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(3)
+    for n, changed in ((5, 1), (140, 20), (140, 60), (3_000, 400), (0, 0)):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[changed // 2 :], rng.integers(0, 1 << 63, changed - changed // 2).astype(np.uint64)]))
+        bits = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in minhash.parity(a) ^ minhash.parity(b))
+        assert bits <= np.setxor1d(a, b).size
+        assert changed == 0 or changed > 100 or bits > 0.8 * changed
+
+
+def test_a_crowd_of_copies_with_edits_against_all_pairs(spark):
+    """Copies with one to six words replaced: some alike to few others only, most not to the first."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(130)]
+    texts = []
+    for _ in range(260):
+        words = list(base)
+        for at in rng.sample(range(130), rng.randint(1, 6)):
+            words[at] = f"x{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    sets = [set(minhash.shingle_set(t).tolist()) for t in texts]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-12:
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.jaccard_components(docs).collect()}
+    assert got == {i: root(i) for i in range(len(texts))}
