@@ -17,6 +17,8 @@ how the input is divided into tasks.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -37,6 +39,10 @@ SMALLEST = 64
 STRETCHES_BYTES = 1 << 20
 KNOWN_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
+#: A word of letters that compose with nothing and stay one letter in lower case, and signs after it, without the
+#: apostrophe and the start of a special token.
+ASCII_WORD = re.compile(rb"([A-Za-z]+)([!-&(-/:;=-@\[-`{-~]*)")
+LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:;=-@\[-`{-~]*)")
 #: Sequences a task may number.
 TASK_BITS = 40
 
@@ -57,14 +63,39 @@ class Encoder:
         self.held = 0
 
     def _learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of all these, those known before or asked for now."""
+        """The ids of all these, those known before or asked for now.
+
+        A word of Latin letters and signs after it are asked for apart, as the rules match them apart, and a
+        word of ASCII letters in lower case, as the rules make it.
+        """
         if self.held > KNOWN_BYTES:
             self.known, self.held = {}, 0
-        new = list(stretches.difference(self.known))
-        for x, found in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-            self.known[x] = np.array(found.ids, "<u4").tobytes()
-            self.held += len(x) + len(self.known[x])
-        return self.known
+        known, parts, ask = self.known, [], set()
+        for x in stretches.difference(known):
+            found = ASCII_WORD.fullmatch(x)
+            if found:
+                word, signs = found.groups()
+                word = word.lower()
+            else:
+                found = None if x.isascii() else LATIN_WORD.fullmatch(x.decode())
+                if not found:
+                    ask.add(x)
+                    continue
+                word, signs = found[1].encode(), found[2].encode()
+            if word != x:
+                parts.append((x, word, signs))
+            if word not in known:
+                ask.add(word)
+            if signs and signs not in known:
+                ask.add(signs)
+        asked = list(ask)
+        for x, found in zip(asked, self.tokenizer.encode_batch_fast([x.decode() for x in asked], add_special_tokens=False), strict=True):
+            ids = known[x] = array("I", found.ids).tobytes()
+            self.held += len(x) + len(ids)
+        for x, word, signs in parts:
+            ids = known[x] = known[word] + known[signs] if signs else known[word]
+            self.held += len(x) + len(ids)
+        return known
 
     def encode(self, some: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """The ids of each text, and the end id."""

@@ -277,7 +277,7 @@ def test_ids_are_those_of_the_library(monkeypatch):
         encoder = packing.Encoder(file.read())
     rng = random.Random(0)
     alphabet = ["a", "B's ", "9", " ", "  ", "\u0301", "e\u0301", " \u0301", "漢", "\n", "x y", "'ll", "<|endoftext|>", "< |endoftext|>", "!?",
-                "\u3000", "\x1c", "\x85", "\xa0", "Σ", "ΑΣ ", "İ", "\u0344", "\u0327", "ß", "\r\n", "\x0b", "가", "\u1100", "\u1161"]
+                "\u3000", "\x1c", "\x85", "\xa0", "Σ", "ΑΣ ", "İ", "\u0344", "\u0327", "ß", "\r\n", "\x0b", "가", "\u1100", "\u1161", "Ab", "É", "ſ", "ŉ", ".", ",", "-", "@", "`", "~", ";", "[", "İ"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1_500)]
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
