@@ -6,7 +6,7 @@ from catalogue.case import case, silver
 from catalogue.raw import load
 from catalogue.silver_sql import silver_sql
 from fieldlake.operators.ledger import document_balances, posting_reason, unbalanced_documents, unposted_events
-from fieldlake.operators.lookup import hot_keys, keep_members, lookup
+from fieldlake.operators.lookup import heavy_keys, hot_keys, keep_members, lookup
 from fieldlake.plans.derive import (
     active_attendance,
     active_workers,
@@ -365,6 +365,15 @@ def _lines_with_supplier(spark, sf):
     return lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, {"s_name": "NOBODY"}, hot=hot)
 
 
+# A third of the lines at one place, others at few, many at places of their own, some at none.
+SKEWED = """case when l_returnflag = 'R' then 0 when l_linenumber = 7 then -1 when l_linenumber = 6 then -l_suppkey % 30 - 2
+    when l_linenumber = 5 then null else l_orderkey end"""
+
+
+def _skewed_lines(spark, sf):
+    return load(spark, sf, "lineitem").withColumn("place", F.expr(SKEWED))
+
+
 def cases():
     return {
         "enrich_hourly": case(
@@ -402,6 +411,12 @@ def cases():
                from lineitem left join supplier on s_suppkey = l_suppkey""",
         ),
         "unposted_events": case(events_without_posting, UNPOSTED_SQL),
+        "heavy_keys": case(
+            lambda spark, sf: heavy_keys(_skewed_lines(spark, sf), ["place", "l_linestatus"], 50),
+            f"""select place, l_linestatus from (select *, {SKEWED} as place from lineitem)
+               where place is not null and l_linestatus is not null group by all
+               having count(*) * 50 > (select count(*) from lineitem where {SKEWED} is not null and l_linestatus is not null)""",
+        ),
         "hot_keys": case(
             lambda spark, sf: hot_keys(load(spark, sf, "events"), ["event_type"], 5),
             """select event_type from events group by 1

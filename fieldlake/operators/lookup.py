@@ -7,11 +7,17 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldlake.errors import ContractError
 from fieldlake.functions.text import code
 from fieldlake.operators.dedupe import dedupe
 
 # A key with more than one part in this many of all rows is hot; there cannot be more such keys.
 HOT_KEYS = 50_000
+# The same for keys found by sketches, of which a task holds eight counters for each.
+HEAVY_KEYS = 1_000
+MOST_COUNTERS = 1 << 19
+# Sketches are merged in so many parts before they meet.
+SKETCH_PARTS = 64
 
 
 def is_small(df: DataFrame, rows: int = 100_000, size: int = 64 * 1024 * 1024) -> bool:
@@ -36,6 +42,34 @@ def hot_keys(df: DataFrame, on: Sequence[str], limit: int = HOT_KEYS) -> DataFra
     return per_key.where(F.col("_rows") * limit > total.scalar()).select(*on)
 
 
+def heavy_keys(df: DataFrame, on: Sequence[str], limit: int = HEAVY_KEYS) -> DataFrame:
+    """The keys that ``hot_keys`` finds for the same ``limit``, without a shuffle of all keys.
+
+    Every task keeps a bounded number of counters (a frequent item sketch of key hashes, which underrates a
+    key by a known share of all rows at most), the sketches are merged in parts and then to one, and only
+    the rows of the keys that may be heavy by it, at most ``2 * limit`` hashes, are counted exactly. The
+    result, at most ``limit`` rows, is a local frame: using it runs nothing again.
+    """
+    # a key over 1/limit of n rows keeps over (1 - 3.5/8)/limit of them in its counter; under 2 * limit keys do
+    counters = 1 << (8 * limit - 1).bit_length()
+    if counters > MOST_COUNTERS:
+        raise ContractError(f"limit {limit} needs over {MOST_COUNTERS} counters a task; hot_keys counts every key")
+    keyed = df.dropna(subset=list(on)).select(*on).withColumn("_hash", F.xxhash64(*on))
+    spark, kinds = df.sparkSession, df.select(*on).schema
+    if keyed.isEmpty():  # there is no sketch of nothing
+        return spark.createDataFrame([], kinds)
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS)).alias("_part")
+    sketched = keyed.groupBy(part).agg(
+        F.expr(f"approx_top_k_accumulate(_hash, {counters})").alias("_sketch"), F.count(F.lit(1)).alias("_rows")
+    )
+    merged = sketched.agg(F.expr(f"approx_top_k_combine(_sketch, {counters})").alias("_sketch"), F.sum("_rows").alias("_rows"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(_sketch, {2 * limit})").alias("_top"), "_rows").first()
+    maybe = spark.createDataFrame([(item["item"],) for item in found["_top"]], "_hash long")
+    counted = keyed.join(F.broadcast(maybe), "_hash", "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counted.where(F.col("_n") * limit > F.lit(found["_rows"])).select(*on).collect()
+    return spark.createDataFrame(heavy, kinds)
+
+
 def _join_unique(fact: DataFrame, ref: DataFrame, on: list[str], hot: DataFrame | None) -> DataFrame:
     """Left join on a reference with one row per key. Building it runs no job, and reads the fact once.
 
@@ -53,6 +87,9 @@ def _join_unique(fact: DataFrame, ref: DataFrame, on: list[str], hot: DataFrame
     if hot is not None:
         values = [F.col(name).alias(f"_hot{name}") for name in taken]
         known = hot.select(*on).dropna().distinct().join(ref, on, "left").select(*on, F.lit(True).alias("_hot"), *values)
+        # what is broadcast is measured; of hot rows that are too many or too large none is kept apart
+        if not is_small(known):
+            return _join_unique(fact, ref, on, None)
         fact = fact.join(F.broadcast(known), on, "left")
         nothing_to_find = nothing_to_find | F.col("_hot").isNotNull()
     spread = F.when(nothing_to_find, F.pmod(row, F.lit(1 << 30)) + 1).otherwise(F.lit(0).cast("bigint"))
@@ -84,7 +121,8 @@ def lookup(
     defaults. One reference row per key is used, the first by ``order_by``, so the fact never fans
     out; ``unique`` says that there is only one, as in a dimension, and saves looking for it.
     ``normalise`` compares text keys upper-cased and trimmed. ``hot`` names fact keys to be kept
-    apart, as found by ``hot_keys`` or known beforehand; it must be a bounded set, as it is broadcast.
+    apart, as found by ``heavy_keys`` or ``hot_keys`` or known beforehand; only their own reference rows are
+    measured, and broadcast where they are small (100,000 rows, 64 MB).
     """
     slots = {left: f"_key_{i}" for i, left in enumerate(on)}
     keys = list(slots.values())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators.lookup import (
     distinct_union,
+    heavy_keys,
     hot_keys,
     is_small,
     keep_members,
@@ -14,6 +15,8 @@ from fieldlake.operators.lookup import (
     orphan_keys,
     orphan_summary,
 )
+from fieldlake.errors import ContractError
+from fieldlake.operators import lookup as lookups
 from fieldlake.operators.measures import breakdown, count_by, filter_in, is_not, top_k
 
 
@@ -68,6 +71,36 @@ def test_unique_reference_is_not_searched(spark):
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("limit", [2, 7, 40, 300])
+def test_heavy_keys_are_the_hot_keys(spark, limit):
+    rng = random.Random(limit)
+    weights = [1 / (i + 1) for i in range(3_000)]
+    rows = [(k, None if rng.random() < 0.05 else k % 3) for k in rng.choices(range(3_000), weights, k=20_000)]
+    df = spark.createDataFrame(rows, "k int, part int").repartition(7)
+    for on in (["k"], ["k", "part"]):
+        found, wanted = heavy_keys(df, on, limit), hot_keys(df, on, limit)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+        assert found.count() <= limit
+
+
+def test_heavy_keys_of_even_and_empty_frames(spark):
+    assert heavy_keys(spark.range(50_000), ["id"], 100).count() == 0
+    assert heavy_keys(spark.range(10).where("id > 10"), ["id"]).columns == ["id"]
+    assert heavy_keys(spark.createDataFrame([(None,)] * 5, "k string"), ["k"], 3).count() == 0
+    assert [r.id for r in heavy_keys(spark.range(1), ["id"], 2).collect()] == [0]
+    with pytest.raises(ContractError, match="counters"):
+        heavy_keys(spark.range(3), ["id"], 1_000_000)
+
+
+def test_hot_rows_too_large_to_broadcast_are_looked_up_as_all_others(spark, skewed, monkeypatch):
+    fact, rows = skewed
+    ref = spark.createDataFrame([("hot", "x" * 200)], "code string, v string")
+    monkeypatch.setattr(lookups, "is_small", lambda df: is_small(df, size=100))
+    found = lookup(fact, ref, {"k": "code"}, {"v": "-"}, hot=heavy_keys(fact, ["k"], 10))
+    assert "_hot" not in found._jdf.queryExecution().analyzed().toString()
+    assert found.where("v <> '-'").count() == sum(k == "hot" for _, k in rows)
+
+
 def test_hot_keys_are_bounded(spark, skewed):
     fact, _ = skewed
     assert [r.k for r in hot_keys(fact, ["k"], 5).collect()] == ["hot"]
