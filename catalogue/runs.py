@@ -11,7 +11,7 @@ from catalogue.silver_sql import model_sql, silver_sql
 from fieldlake.operators.cleaning import INGESTED_AT, clean
 from fieldlake.plans.batch import run_batch
 from fieldlake.plans.estate import BATCH_SOURCES, MODELS, SENSORS, SERVING
-from fieldlake.plans.serving import serving_views
+from fieldlake.plans.serving import serving_rows, serving_views
 from fieldlake.session import scratch_folder
 from fieldlake.sources.batch import CSV_DIALECT, MALFORMED, ingest_raw, read_raw, read_source, read_table
 from fieldlake.sources.inventory import compare_file_trees, landed_files
@@ -161,12 +161,28 @@ def view_rows(model):
     return run
 
 
-def view_case(model):
+def rows_where(model, where):
+    """Rows of a fact after a batch run, from the files that the index names."""
+    source = MODELS[model].source
+
+    def run(spark, sf):
+        layout = Layout(scratch_folder(spark, "rows"))
+        landed_twice(spark, sf, layout, [source])
+        run_batch(spark, layout, RUN_TS, sources=[source])
+        return serving_rows(spark, layout, model, where)
+
+    return run
+
+
+MONTH_OF_ROWS = ("1996-03-01", "1996-03-31")
+
+
+def view_case(model, run=None, condition="true"):
     kinds = SERVING[model].columns
     keys = " and ".join(f"{key} is not null" for key in MODELS[model].key)
     return case(
-        view_rows(model),
-        f"select * from ({model_sql(model)}) where {keys}",
+        run or view_rows(model),
+        f"select * from ({model_sql(model)}) where {keys} and {condition}",
         dates=tuple(name for name, kind in kinds.items() if kind == "date"),
         times=tuple(name for name, kind in kinds.items() if kind == "datetime2"),
         decimals=tuple(name for name, kind in kinds.items() if kind.startswith("decimal")),
@@ -293,4 +309,8 @@ def cases():
         found[f"raw_table_{name}"] = case(raw_table(name), raw_table_sql(name))
     for model in SERVING:
         found[f"view_{model}"] = view_case(model)
+    low, high = MONTH_OF_ROWS
+    found["rows_of_a_month"] = view_case(
+        "fact_harvest", rows_where("fact_harvest", {"harvest_date": MONTH_OF_ROWS}), f"harvest_date between '{low}' and '{high}'"
+    )
     return found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from fieldlake.plans.estate import SENSORS, SERVING
 from fieldlake.plans.reports import LIVE_VIEWS, live_measures, live_status
 from fieldlake.sources.batch import read_table, read_typed
 from fieldlake.sources.layout import Layout
+from fieldlake.sources.skipping import read_where
 
 
 def serving_views(
@@ -29,6 +31,15 @@ def serving_views(
     return views
 
 
+def serving_rows(
+    spark: SparkSession, layout: Layout, name: str, where: Mapping[str, Any],
+    contracts: Mapping[str, ServingContract] = SERVING,
+) -> DataFrame:
+    """Rows of a fact as its view gives them, for a value or a range ``(low, high)`` of its event date or key
+    columns: only the files that may hold such rows are opened, whatever the layout."""
+    return apply_contract(read_where(spark, layout.gold(name), where), contracts[name])
+
+
 def live_views(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """``vw_kpi_*`` over the cleaned live table."""
     readings = read_table(spark, layout.live_silver(SENSORS.name), layout.table_format)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from fieldlake.contracts import ServingContract, SourceContract
 from fieldlake.errors import SourceError
 from fieldlake.operators.conform import spark_schema
-from fieldlake.sources import versions
+from fieldlake.sources import skipping, versions
 from fieldlake.sources.records import quoted_records
 
 SOURCE_FILE = "_source_file"
@@ -113,6 +113,8 @@ def write_counted(
     partition_by: Sequence[str] = (),
     reads: Sequence[str] = (),
     counts: Mapping[str, str] | None = None,
+    cluster_by: Sequence[str] = (),
+    index: Sequence[str] = (),
 ) -> dict[str, int]:
     """Write a table and return what was written: ``rows``, and the non-NULL values of the columns
     in ``counts``. Both are observed during the write; nothing is computed twice.
@@ -121,7 +123,9 @@ def write_counted(
     is complete (see ``versions``). Other formats are replaced in place: ``reads`` are the paths the frame
     comes from, and a table may not replace its own input, since the input would be gone before it is read.
     Partitioned tables are first rebalanced on their
-    partition columns: a partition becomes a few files of good size, a large one is split.
+    partition columns: a partition becomes a few files of good size, a large one is split, and with
+    ``cluster_by`` so that equal values of these columns lie together. A versioned table may have an
+    ``index`` of columns (see ``skipping``).
     """
     for source in reads:
         if mode == "overwrite" and fmt != versions.FORMAT and _overlaps(df.sparkSession, source, path):
@@ -131,13 +135,15 @@ def write_counted(
     measures += [F.count(F.col(column)).alias(name) for name, column in (counts or {}).items()]
     counted, names = df.observe(seen, *measures), ["rows", *(counts or {})]
     if partition_by:
-        counted = counted.hint("rebalance", *partition_by)
+        counted = counted.hint("rebalance", *partition_by, *cluster_by)
     if fmt == versions.FORMAT:
         if mode != "overwrite":
             raise SourceError(f"{path}: a version holds the whole table, so mode {mode} is not possible")
         number, folder = versions.next_folder(df.sparkSession, path)
         counted.write.partitionBy(*partition_by).parquet(folder)
         written = _observed(seen, names)
+        if index:
+            skipping.write_index(df.sparkSession, folder, index)
         versions.publish(df.sparkSession, path, number, folder, df.dtypes, written)
         return written
     writer = counted.write.format(fmt).mode(mode).partitionBy(*partition_by)

@@ -26,7 +26,7 @@ from fieldlake.errors import SourceError
 FORMAT = "versioned"
 #: Versions that stay readable, the current one among them.
 KEPT = 3
-MANIFESTS, DATA = "_versions", "_data"
+MANIFESTS, DATA, INDEX = "_versions", "_data", "_index"
 
 
 class Files:
@@ -135,7 +135,7 @@ def publish(
     if not files.create(posixpath.join(path, MANIFESTS, f"{number:012d}.json"), json.dumps(told)):
         files.remove(folder)
         raise SourceError(f"{path}: another write made version {number} meanwhile")
-    for part in (MANIFESTS, DATA):
+    for part in (MANIFESTS, INDEX, DATA):
         for name in files.names(posixpath.join(path, part)):
             if 0 <= _number(name) <= number - kept:
                 files.remove(posixpath.join(path, part, name))
