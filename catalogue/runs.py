@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 from catalogue.case import CONTRACTS, case, silver
 from catalogue.cleaning import DATES, TIMES
 from catalogue.raw import load, raw_source, raw_sql
+from catalogue.sections import LAST_STATUS
 from catalogue.silver_sql import model_sql, silver_sql
 from fieldlake.operators.cleaning import INGESTED_AT, clean
 from fieldlake.plans.batch import run_batch
 from fieldlake.plans.estate import BATCH_SOURCES, MODELS, SENSORS, SERVING
+from fieldlake.plans.reports import merge_status_partials, merged_status, status_partials
 from fieldlake.plans.serving import serving_rows, serving_views
 from fieldlake.session import scratch_folder
 from fieldlake.sources.batch import CSV_DIALECT, MALFORMED, ingest_raw, read_raw, read_source, read_table
 from fieldlake.sources.inventory import compare_file_trees, landed_files
 from fieldlake.sources.layout import Layout
-from fieldlake.streaming.live import run_live
+from fieldlake.streaming.live import bronze_stream, run_live, silver_stream
+from fieldlake.streaming.once import read_partials
 
 RUN_TS = datetime(2024, 2, 1, 6, 0, 0)
 # Writers of CSV keep the spaces of a text.
@@ -98,6 +101,18 @@ def rerun(spark, sf):
     return spark.createDataFrame(rows, kinds)
 
 
+def running_status(spark, sf):
+    """The status of all sensors from the figures that two deliveries left; the readings are not looked at."""
+    raw = raw_source(spark, sf, "sensors")
+    layout = Layout(scratch_folder(spark, "status"))
+    early = F.col("timestamp") < "2024-01-15"
+    for part in (raw.where(early), raw.where(~early)):
+        deliver(part, layout.incoming(SENSORS.name))
+        bronze_stream(spark, SENSORS, layout)
+        silver_stream(spark, SENSORS, layout, partials=status_partials, merge=merge_status_partials)
+    return merged_status(read_partials(spark, layout.live_partials(SENSORS.name)), last_status=True)
+
+
 def late_rows(spark, sf):
     """The table delivered newest first in three parts, with a horizon of one day.
 
@@ -288,6 +303,7 @@ def cases():
             """select i as run, count(*) as bronze_rows, cast(case when i = 1 then 1 else 0 end as bigint) as silver_rows,
                cast(1 as bigint) as silver_total from (select unnest([1, 2]) as i), events group by i""",
         ),
+        "live_running_status": case(running_status, LAST_STATUS, times=("last_reading_ts",)),
         "live_late_rows": case(
             late_rows,
             f"""select * from ({LIVE}) where "timestamp" >= '2024-01-21' """,

@@ -1,5 +1,7 @@
 """The reports of every section."""
 
+from datetime import datetime
+
 from catalogue.case import case, gold, silver
 from catalogue.silver_sql import model_sql, silver_sql
 from fieldlake.plans import reports as r
@@ -46,6 +48,34 @@ STATUS = f"""select block_id, sensor_id, max("timestamp") as last_reading_ts, co
     count(*) filter (where sensor_status = 'FAULT') as fault_count,
     {_mean('battery_level_pct', 'avg_battery_pct')} from ({READINGS}) group by block_id, sensor_id"""
 
+LAST_STATUS = f"""select s.*, l.sensor_status as last_status from ({STATUS}) s join
+    (select *, row_number() over (partition by block_id, sensor_id
+     order by "timestamp" desc, sensor_status desc nulls last) as rank_in_key from ({READINGS})) l
+    on l.rank_in_key = 1 and l.sensor_id = s.sensor_id and l.block_id = s.block_id"""
+
+# A stretch of time and the width of a chart of it.
+STRETCH, WIDTH = (datetime(2024, 1, 3), datetime(2024, 1, 23)), 24
+
+
+def _reduced_sql(measure):
+    start, step = STRETCH[0].isoformat(" "), (STRETCH[1] - STRETCH[0]).total_seconds() / WIDTH
+    points = (("min", "t, v"), ("max", "t, v"), ("min", "v, t"), ("max", "v, -t"))
+    picked = [
+        f"{how}(struct_pack({', '.join(f'p{i} := {e}' for i, e in enumerate(order.split(', ')))})) as e{n}"
+        for n, (how, order) in enumerate(points)
+    ]
+    shown = ("e0.p0 as t, e0.p1 as v", "e1.p0, e1.p1", "e2.p1, e2.p0", "-e3.p1, e3.p0")
+    parts = " union ".join(f"select sensor_id, bucket, {columns} from held" for columns in shown)
+    return f"""with r as (
+            select sensor_id, epoch_us("timestamp") as t, {measure} as v from ({READINGS})
+            where {measure} is not null and "timestamp" >= timestamp '{start}' and "timestamp" < timestamp '{STRETCH[1].isoformat(" ")}'
+        ),
+        held as (
+            select sensor_id, cast(floor((t - epoch_us(timestamp '{start}')) / 1e6 / {step}::double) as bigint) as bucket,
+                   {", ".join(picked)} from r group by all
+        )
+        select sensor_id, bucket, make_timestamp(t) as reading_ts, v as {measure} from ({parts})"""
+
 
 def _overview(spark, sf):
     return r.overview({name: gold(spark, sf, name) for name in MODELS})
@@ -186,10 +216,7 @@ def cases():
         "live_status": case(_live(r.live_status), STATUS, times=("last_reading_ts",)),
         "live_last_status": case(
             _live(r.live_status, last_status=True),
-            f"""select s.*, l.sensor_status as last_status from ({STATUS}) s join
-                (select *, row_number() over (partition by block_id, sensor_id
-                 order by "timestamp" desc, sensor_status desc nulls last) as rank_in_key from ({READINGS})) l
-                on l.rank_in_key = 1 and l.sensor_id = s.sensor_id and l.block_id = s.block_id""",
+            LAST_STATUS,
             times=("last_reading_ts",),
         ),
         "live_kpis": case(
@@ -245,4 +272,8 @@ def cases():
                 f"""select "timestamp" as reading_ts, sensor_id, {measure} from ({READINGS})""",
                 times=("reading_ts",),
             )
+    for measure in ("soil_moisture_pct", "air_temperature_c"):
+        found[f"live_chart_{measure}"] = case(
+            _live(r.reduced_series, measure, *STRETCH, WIDTH), _reduced_sql(measure), times=("reading_ts",)
+        )
     return found

@@ -8,6 +8,7 @@ known groups, and kept in the overview.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -299,6 +300,38 @@ def live_status(readings: DataFrame, last_status: bool = False) -> DataFrame:
     return _per_sensor(readings, *([newest] if last_status else []))
 
 
+def status_partials(readings: DataFrame) -> DataFrame:
+    """Figures per sensor from which ``merged_status`` makes its status, of any part of the readings."""
+    state = F.col("sensor_status")
+    return readings.groupBy("block_id", "sensor_id").agg(
+        F.max(F.struct(F.col("timestamp").alias("at"), state.alias("state"))).alias("newest"),
+        _rows("reading_count"),
+        *[F.count_if(state == value).alias(f"{name}_count") for name, value in SENSOR_STATES.items()],
+        exact_sum(F.col("battery_level_pct")).alias("battery"),
+        F.count("battery_level_pct").alias("batteries"),
+    )
+
+
+def merge_status_partials(partials: DataFrame) -> DataFrame:
+    """The same figures of all parts together."""
+    counts = ["reading_count", *[f"{name}_count" for name in SENSOR_STATES]]
+    return partials.groupBy("block_id", "sensor_id").agg(
+        F.max("newest").alias("newest"), *[F.sum(name).alias(name) for name in counts],
+        exact_sum(F.col("battery")).alias("battery"), F.sum("batteries").alias("batteries"),
+    )
+
+
+def merged_status(partials: DataFrame, last_status: bool = False) -> DataFrame:
+    """``live_status`` from the figures of parts of the readings; no reading is looked at."""
+    merged = merge_status_partials(partials)
+    last = [F.col("newest.state").alias("last_status")] if last_status else []
+    return merged.select(
+        "block_id", "sensor_id", F.col("newest.at").alias("last_reading_ts"), "reading_count",
+        *[f"{name}_count" for name in SENSOR_STATES],
+        F.try_divide("battery", "batteries").alias("avg_battery_pct"), *last,
+    )
+
+
 def live_kpis(readings: DataFrame) -> DataFrame:
     """One row over all sensors. ``mean_of_sensor_means`` gives every sensor the same weight,
     ``mean_of_readings`` every reading."""
@@ -324,3 +357,27 @@ def live_health(readings: DataFrame) -> DataFrame:
 def live_series(readings: DataFrame, measure: str) -> DataFrame:
     """A measure over time, per sensor, in no order: who shows a stretch of it sorts that stretch."""
     return readings.select(F.col("timestamp").alias("reading_ts"), "sensor_id", measure)
+
+
+def reduced_series(readings: DataFrame, measure: str, start: datetime, end: datetime, buckets: int) -> DataFrame:
+    """A measure over a stretch of time for a chart ``buckets`` wide: per sensor and bucket the first, the last,
+    the least and the greatest reading, so at most four rows, and a line through them covers the same points
+    of the chart as one through all. Of equal values the earliest counts.
+    """
+    step = (end - start).total_seconds() / buckets
+    stretch = readings.where(F.col(measure).isNotNull() & (F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+    since = (F.unix_micros("timestamp") - F.unix_micros(F.lit(start))) / F.lit(1e6)
+    at = F.struct(F.col("timestamp").alias("reading_ts"), F.col(measure).alias(measure))
+    low = F.struct(F.col(measure).alias("v"), F.unix_micros("timestamp").alias("t"))
+    high = F.struct(F.col(measure).alias("v"), (-F.unix_micros("timestamp")).alias("t"))
+    held = stretch.groupBy("sensor_id", F.floor(since / F.lit(step)).alias("bucket")).agg(
+        F.min(at).alias("first"), F.max(at).alias("last"), F.min(low).alias("low"), F.max(high).alias("high")
+    )
+
+    def point(extreme: str, sign: int) -> Column:
+        return F.struct(
+            F.timestamp_micros(F.lit(sign) * F.col(f"{extreme}.t")).alias("reading_ts"), F.col(f"{extreme}.v").alias(measure)
+        )
+
+    points = F.array_distinct(F.array("first", "last", point("low", 1), point("high", -1)))
+    return held.select("sensor_id", "bucket", F.explode(points).alias("p")).select("sensor_id", "bucket", "p.*")

@@ -54,6 +54,9 @@ class Layout:
     def live_silver(self, source: str) -> str:
         return self._at("live-silver", source)
 
+    def live_partials(self, source: str) -> str:
+        return self._at("live-partials", source)
+
     def checkpoint(self, stream: str) -> str:
         return self._at("checkpoints", stream)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from fieldlake.contracts import SourceContract
 from fieldlake.operators.cleaning import INGESTED_AT, clean_rows
 from fieldlake.sources.batch import MALFORMED, SOURCE_FILE, csv_options, path_exists, read_table
 from fieldlake.sources.layout import Layout
-from fieldlake.streaming.once import OncePerKey
+from fieldlake.streaming.once import OncePerKey, merge_partials
 
 READING_DATE = "reading_date"
 
@@ -132,20 +133,27 @@ def silver_stream(
     max_files: int | None = None,
     by_day: bool = False,
     event_time: str = "timestamp",
+    partials: Callable[[DataFrame], DataFrame] | None = None,
+    merge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Drained:
     """Raw live table to the cleaned live table, one row per key; of the copies in a batch the first by all columns.
 
-    ``by_day`` partitions the cleaned table by the day of the reading, in ``reading_date``.
+    ``by_day`` partitions the cleaned table by the day of the reading, in ``reading_date``. ``partials`` makes
+    figures of the rows each batch adds, kept at ``layout.live_partials`` and, with ``merge``, merged after
+    every run, so that a status is read without the readings.
     """
     bronze, silver = layout.live_bronze(contract.name), layout.live_silver(contract.name)
     checkpoint = layout.checkpoint(f"{contract.name}_live_silver")
     raw = read_table_stream(spark, contract, bronze, layout.table_format, max_files)
     sink = OncePerKey(
         spark, silver, posixpath.join(checkpoint, "batches"), contract.key, event_time, layout.table_format,
-        late_horizon, READING_DATE if by_day else None, INGESTED_AT,
+        late_horizon, READING_DATE if by_day else None, INGESTED_AT, partials=partials,
+        partials_path=layout.live_partials(contract.name) if partials else None,
     )
     writer = clean_rows(raw, contract).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
+    if partials and merge:
+        merge_partials(spark, layout.live_partials(contract.name), merge, sink.log)
     return Drained(sink.added, table_rows(spark, silver, layout.table_format), sink.late)
 
 

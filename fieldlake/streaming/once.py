@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import posixpath
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from fieldlake.errors import SourceError
 from fieldlake.operators.dedupe import dedupe
+from fieldlake.sources import versions
 from fieldlake.sources.batch import path_exists, read_table, write_counted
 from fieldlake.sources.versions import Files
 
@@ -32,6 +33,40 @@ KEPT_BATCHES = 20
 MOST_DAYS = 100
 
 
+def batch_folder(path: str, number: int) -> str:
+    return posixpath.join(path, f"batch-{number:012d}")
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame | None:
+    """The figures of all batches: those merged so far, and those of each batch since; None before the first."""
+    files, merged = Files(spark, path), versions.manifest(spark, path)
+    through = -1 if merged is None else merged["counts"]["through"]
+    since = [n for n in map(_batch_number, files.names(path)) if n > through]
+    parts = [batch_folder(path, n) for n in since if path_exists(spark, posixpath.join(batch_folder(path, n), "_SUCCESS"))]
+    frames = [spark.read.parquet(*parts)] if parts else []
+    if merged is not None:
+        frames.append(versions.read_version(spark, path, merged["version"]))
+    return None if not frames else frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def merge_partials(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], log: BatchLog) -> None:
+    """Make one table of the figures of all finished batches, and remove theirs; readers see either."""
+    through = max(log.entries, default=-1)
+    known = [n for n in map(_batch_number, Files(spark, path).names(path)) if 0 <= n <= through]
+    if not known:
+        return
+    number, folder = versions.next_folder(spark, path)
+    merged = merge(read_partials(spark, path))
+    merged.coalesce(1).write.parquet(folder)
+    versions.publish(spark, path, number, folder, merged.dtypes, {"through": through})
+    for n in known:
+        Files(spark, path).remove(batch_folder(path, n))
+
+
+def _batch_number(name: str) -> int:
+    return int(name.removeprefix("batch-")) if name.startswith("batch-") else -1
+
+
 @dataclass
 class BatchLog:
     """What became of each batch: ``batch, added, late, newest`` and ``sure``, whether ``added`` is all it added."""
@@ -76,7 +111,9 @@ class OncePerKey:
     """A ``foreachBatch`` sink: appends what a table does not hold yet.
 
     ``by_day`` names a date column that the table is partitioned by, made from ``event_time``; ``stamp`` is
-    a column of the time of writing, named ``stamp_as``.
+    a column of the time of writing, named ``stamp_as``. ``partials`` makes mergeable figures of the rows that
+    a batch adds, which go to a folder per batch before the rows do: a batch that died between the two
+    keeps the figures it has, and adds the rows that are lacking.
     """
 
     spark: SparkSession
@@ -89,6 +126,8 @@ class OncePerKey:
     by_day: str | None = None
     stamp_as: str | None = None
     stamp: Column | None = None
+    partials: Callable[[DataFrame], DataFrame] | None = None
+    partials_path: str | None = None
     added: int = 0
     late: int = 0
     sure: bool = True
@@ -113,7 +152,7 @@ class OncePerKey:
         newest = max(filter(None, (before, seen.newest)), default=None)
         added = 0
         if seen.oldest is not None or self.event_time not in self.keys:
-            added = self._append(batch if age is None else batch.where(~is_late), seen)
+            added = self._append(batch if age is None else batch.where(~is_late), seen, number)
         self.added, self.late, self.sure = self.added + added, self.late + seen.late, self.sure and first
         self.log.enter({
             "batch": number, "added": added, "late": seen.late, "sure": first,
@@ -130,7 +169,7 @@ class OncePerKey:
             fields.append(T.StructField(self.by_day, T.DateType()))
         return self.spark.read.format(self.fmt).schema(T.StructType(fields)).load(self.path)
 
-    def _append(self, batch: DataFrame, seen) -> int:
+    def _append(self, batch: DataFrame, seen, number: int) -> int:
         rows = dedupe(batch, self.keys)
         if self.by_day:
             rows = rows.withColumn(self.by_day, F.to_date(self.event_time))
@@ -147,6 +186,10 @@ class OncePerKey:
             for key in self.keys:
                 same = same & F.col(key).eqNullSafe(F.col(f"_held_{key}"))
             rows = rows.join(held, same, "left_anti")
+        if self.partials:
+            own = batch_folder(self.partials_path, number)
+            if not path_exists(self.spark, posixpath.join(own, "_SUCCESS")):
+                self.partials(rows).coalesce(1).write.mode("overwrite").parquet(own)
         if self.stamp_as:
             rows = rows.withColumn(self.stamp_as, F.current_timestamp() if self.stamp is None else self.stamp)
         partition_by = (self.by_day,) if self.by_day else ()

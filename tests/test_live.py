@@ -192,3 +192,40 @@ def test_a_stream_may_keep_state_of_its_own(spark, layout):
     deliver(layout, "one", [reading("s1", START, ph="3")] * 5 + [reading("s2", START)])
     cleaned = clean_stream(read_stream(spark, SENSORS, layout.incoming("sensors")), SENSORS, late_horizon="1 day")
     assert drain(cleaned, layout.root + "/own", layout.checkpoint("own")).added == 2
+
+
+def test_status_from_the_figures_of_batches(spark, layout):
+    from fieldlake.plans.reports import live_status, merge_status_partials, merged_status, status_partials
+    from fieldlake.streaming.once import read_partials
+
+    path = layout.live_partials("sensors")
+    assert read_partials(spark, path) is None
+    for day in range(3):
+        rows = [reading(f"s{i % 4}", START + dt.timedelta(days=d), ph="6", status=("ok", "fault", "anomaly")[i % 3]) for i in range(9) for d in (0, day)]
+        deliver(layout, str(day), rows)
+        bronze_stream(spark, SENSORS, layout)
+        silver_stream(spark, SENSORS, layout, partials=status_partials, merge=merge_status_partials if day != 1 else None)
+        wanted = live_status(read_table(spark, layout.live_silver("sensors")), last_status=True)
+        found = merged_status(read_partials(spark, path), last_status=True)
+        assert found.dtypes == wanted.dtypes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert read_partials(spark, path).count() == 4
+
+
+def test_figures_of_a_batch_that_died(spark, tmp_path):
+    """Figures are written before rows: whatever was reached, a second attempt makes both whole, once."""
+    def figures(rows):
+        return rows.groupBy("sensor_id").agg({"value": "count"}).withColumnRenamed("count(value)", "n")
+
+    options = {"partials": figures, "partials_path": f"{tmp_path}/figures"}
+    batch = readings(spark, ("a", 0, 1), ("b", 0, 1), ("a", 1, 2))
+    one = sink(spark, tmp_path, **options)
+    one(batch, 0)
+    (tmp_path / "log" / "000000000000.json").unlink()
+    shutil.rmtree(tmp_path / "table" / "day=2024-01-02")  # part of the rows never came
+    again = sink(spark, tmp_path, **options)
+    again(batch, 0)
+    from fieldlake.streaming.once import read_partials
+
+    assert again.added == 1 and read_table(spark, f"{tmp_path}/table").count() == 3
+    assert {r.sensor_id: r.n for r in read_partials(spark, f"{tmp_path}/figures").collect()} == {"a": 2, "b": 1}
