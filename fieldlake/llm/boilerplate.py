@@ -12,10 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldlake.llm.common import saved
+
 MAX_RATIO = 0.2
 MIN_PAGES = 4
-#: Pages of a host are dealt over so many tasks when its boilerplate is brought to them.
-SALTS = 32
+#: Up to so many bytes of all hosts' boilerplate go to every task; beyond, pages and lists meet by host, the pages
+#: of a host dealt over as many tasks as they need.
+BROADCAST_BYTES = 8 << 20
+TASK_PAGES = 20_000
 
 
 def _key(line: Column) -> Column:
@@ -35,7 +39,7 @@ def boilerplate(
     min_count: int = 2,
     copies: bool = True,
 ) -> DataFrame:
-    """``host, lines``: hashes of the lines that more than ``max_ratio`` of a host's pages hold.
+    """``host, lines, pages``: hashes of the lines that more than ``max_ratio`` of a host's pages hold, and their number.
 
     A page is counted once for a line, before anything is shuffled. A host has fewer such lines than
     a mean page of it has lines, divided by the ratio, so they are held as one array.
@@ -53,7 +57,26 @@ def boilerplate(
     common = counts.where(F.col("n") >= max(2, min_count)).join(at, counts.host.eqNullSafe(at.site)).where(
         F.col("n") > F.lit(max_ratio) * F.col("pages")
     )
-    return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
+    return common.groupBy("host").agg(F.collect_list("line").alias("lines"), F.max("pages").alias("pages"))
+
+
+def _with_lists(rows: DataFrame, found: DataFrame, broadcast_bytes: int, task_pages: int) -> DataFrame:
+    """``rows`` (with ``host``) and the ``lines`` of their host, null where it has none. The lists are brought to the
+    pages where they are measured to be small."""
+    found = saved(found, "lines")
+    size = F.octet_length(F.coalesce("host", F.lit(""))) + F.size("lines") * 8 + 64
+    if (found.agg(F.sum(size.cast("long"))).first()[0] or 0) <= broadcast_bytes:
+        lists = F.broadcast(found.select(F.col("host").alias("site"), "lines"))
+        return rows.join(lists, rows.host.eqNullSafe(lists.site), "left")
+    tasks = F.ceil(F.col("pages") / F.lit(task_pages)).cast("int")
+    many = found.where(F.col("pages") > task_pages).select(F.col("host").alias("large"), tasks.alias("tasks"))
+    held = rows.join(many, rows.host.eqNullSafe(many.large), "left").withColumn(
+        "salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("tasks", F.lit(1))).cast("int")
+    )
+    lists = found.select(
+        F.col("host").alias("site"), "lines", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("site_salt")
+    )
+    return held.join(lists, held.host.eqNullSafe(lists.site) & (held.salt == lists.site_salt), "left")
 
 
 def drop_boilerplate(
@@ -65,20 +88,16 @@ def drop_boilerplate(
     counts_as: str | None = None,
     min_count: int = 2,
     copies: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    task_pages: int = TASK_PAGES,
 ) -> DataFrame:
     """The pages with their columns, ``text_col`` without boilerplate lines.
 
     ``counts_as`` names a struct column to add: ``lines``, ``dropped``.
     """
     found = boilerplate(pages, host, F.col(text_col), max_ratio, min_pages, min_count, copies)
-    salted = found.select(
-        F.col("host").alias("site"), "lines", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("site_salt")
-    )
-    rows = pages.select(
-        F.struct("*").alias("page"), host.alias("host"), _lines(F.col(text_col)).alias("all"),
-        F.pmod(F.xxhash64(F.col(text_col)), F.lit(SALTS)).cast("int").alias("salt"),
-    )
-    joined = rows.join(salted, rows.host.eqNullSafe(salted.site) & (rows.salt == salted.site_salt), "left")
+    rows = pages.select(F.struct("*").alias("page"), host.alias("host"), _lines(F.col(text_col)).alias("all"))
+    joined = _with_lists(rows, found, broadcast_bytes, task_pages)
     kept = F.when(
         F.col("lines").isNull(), F.col("all")
     ).otherwise(F.filter("all", lambda x: ~F.array_contains(F.col("lines"), _key(x))))

@@ -162,6 +162,18 @@ def test_shards_of_odd_rows(odd, none):
     assert sharding.shard_documents(none).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "task_pages": 3}])
+def test_lists_meet_pages_alike_whatever_their_size(spark, limits):
+    pages = [(i, f"h{i % 7}" if i % 3 else "hot", f"menu {i % 7 if i % 3 else 'hot'}\nown {i}\nfooter") for i in range(300)]
+    pages += [(300 + i, None, f"none\nown {i}") for i in range(9)] + [(400, "hot", None)]
+    df = spark.createDataFrame([(*p, 1, 2) for p in pages], "page_id long, host string, text string, tasks int, salt int")
+    out = boilerplate.drop_boilerplate(df, F.col("host"), **limits)
+    assert out.columns == df.columns
+    assert {r.page_id: r.text for r in out.collect()} == {i: None if t is None else t.split("\n")[1] for i, _, t in pages}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ("broadcast" in plan.lower()) == (not limits)
+
+
 def test_lines_by_hand(spark):
     pages = [(i, "a", f"menu\nown {i}\n\nmenu ") for i in range(9)] + [(9, "a", "other"), (10, "b", "menu\nx"), (11, None, "menu")]
     pages += [(12, None, "menu"), (13, None, "menu\nkeep"), (14, None, None), (15, "c", "")]
