@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 from fieldlake.errors import SourceError
 
+#: The setting that names the folder of the present run.
+SCRATCH = "fieldlake.scratch"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -41,12 +45,28 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder every executor can reach, for tables and checkpoints of one run.
 
-    It lies in the folder named by ``spark.checkpoint.dir``. Only a local session may do without
+    It lies in the folder named by ``spark.checkpoint.dir``, within ``scratch_run`` in that run's. Only a local session may do without
     that setting; a machine's own temporary folder is of no use to a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get(SCRATCH, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise SourceError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="fieldlake-")
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """One folder for all scratch tables of what runs inside, removed at the end; write the results before it."""
+    folder, before = scratch_folder(spark, label), spark.conf.get(SCRATCH, None)
+    spark.conf.set(SCRATCH, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(SCRATCH)
+        else:
+            spark.conf.set(SCRATCH, before)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from fieldlake.plans.batch import run_batch
 from fieldlake.plans.estate import BATCH_SOURCES, FERTILIZER, HARVEST, SERVING
 from fieldlake.plans.reports import harvest_kpis, overview
 from fieldlake.plans.serving import serving_views
-from fieldlake.session import scratch_folder
+from fieldlake.session import scratch_folder, scratch_run
 from fieldlake.sources.batch import (
     MALFORMED,
     SOURCE_FILE,
@@ -196,6 +197,23 @@ def test_scratch_is_new_each_time(spark):
     assert scratch_folder(spark, "a") != scratch_folder(spark, "a")
 
 
+def test_a_run_leaves_no_scratch(spark, tmp_path):
+    with scratch_run(spark) as folder:
+        inside = scratch_folder(spark, "t")
+        assert inside.startswith(folder)
+        with scratch_run(spark, "inner") as inner:
+            assert inner.startswith(folder) and scratch_folder(spark, "u").startswith(inner)
+        write_table(spark.range(5), inside)
+        write_table(read_table(spark, inside), str(tmp_path / "out"))
+        assert os.path.exists(inside)
+    assert not os.path.exists(folder) and read_table(spark, str(tmp_path / "out")).count() == 5
+    assert not scratch_folder(spark, "v").startswith(folder)
+    with pytest.raises(ValueError), scratch_run(spark) as folder:
+        write_table(spark.range(5), scratch_folder(spark, "t"))
+        raise ValueError
+    assert not os.path.exists(folder)
+
+
 HARVESTS = [ROW, {**ROW, "harvest_id": "HVT-1"}, {**ROW, "harvest_id": "hvt-2", "timestamp": "2024-02-02 09:00:00",
             "harvested_weight_kg": "-1"}]
 MACHINES = [{"operation_id": "op1", "timestamp": "2024-01-01 08:00:00", "equipment_id": "eq1", "equipment_type": "tractor",
