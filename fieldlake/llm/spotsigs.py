@@ -1,8 +1,8 @@
 """SpotSigs fingerprints: chains of content words that follow common words.
 
 A spot is a common word and the next two content words after it, common words in between left out;
-words are lower-cased runs of letters and digits. A text without any common word takes each of its
-words as an anchor. The fingerprint is the set of its spots, written as their sorted hashes, and the
+words are lower-cased runs of letters and digits, and where fewer than two content words follow, empty ones
+stand for them. A text without any common word takes each of its words as an anchor. The fingerprint is the set of its spots, written as their sorted hashes, and the
 likeness of two fingerprints is the Jaccard index of their sets. For two sets that are alike by t the
 smaller has at least t times the size of the larger, so ``similar_documents`` cuts sets by length into
 parts, of which a set meets its own and the next, and within them joins on a prefix of the rarest

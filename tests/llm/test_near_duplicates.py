@@ -4,6 +4,7 @@ import random
 import corpus_pipeline
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F, types as T
 from fieldlake.llm import embeddings, minhash, simhash, spotsigs
@@ -278,3 +279,42 @@ def test_a_crowd_of_copies_with_edits_against_all_pairs(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.jaccard_components(docs).collect()}
     assert got == {i: root(i) for i in range(len(texts))}
+
+
+def model_spots(text):
+    """Spots in plain Python, as tuples: an anchor and the next two content words, empty where there is none."""
+    words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
+    common = set(spotsigs.COMMON_WORDS)
+    if not any(w in common for w in words):
+        return {(w, n) for w, n in zip(words, [*words[1:], ""], strict=False)}
+    spots = set()
+    for i, w in enumerate(words):
+        if w in common:
+            chain = [x for x in words[i + 1 :] if x not in common][:2]
+            spots.add((w, *chain, *[""] * (2 - len(chain))))
+    return spots
+
+
+def model_likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_fingerprints_and_likeness_against_a_plain_model(request, which):
+    table = request.getfixturevalue(which)
+    keys = sorted({(r.doc_id is not None, r.doc_id or 0, r.h, r.t) for r in table.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()})
+    want = {}
+    for k, (has_id, doc_id, _, text) in enumerate(keys):
+        after = keys[(k + 1) % len(keys)][3]
+        lent = len(text) // 4
+        edited = text[: len(text) - lent] + after[:lent]
+        own, changed, following = model_spots(text), model_spots(edited), model_spots(after)
+        want[doc_id if has_id else None, hashlib.sha256(edited.encode()).hexdigest()] = (
+            len(text), len(own), len(changed), model_likeness(own, changed), model_likeness(own, following)
+        )
+    rows = spotsigs.edited_likeness(table).collect()
+    size = lambda fingerprint: len(set(fingerprint.split("."))) if fingerprint else 0
+    for r in rows:
+        assert (r.n_chars, size(r.fingerprint), size(r.edited_fingerprint), r.near_edited, r.near_next) == want[r.doc_id, r.edited_sha256]
+    assert {(r.doc_id, r.edited_sha256) for r in rows} == set(want) and len(rows) == table.count()
