@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldlake.llm.boilerplate import drop_boilerplate
 from fieldlake.llm.bpe import encode_documents
 from fieldlake.llm.common import saved, table
-from fieldlake.llm.minhash import drop_alike
+from fieldlake.llm.minhash import drop_near
 from fieldlake.llm.mixing import mixed_documents
 from fieldlake.llm.quality import ACCEPT, score_column, train
 
@@ -41,8 +41,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 5-word shingles with a Jaccard index of 0.8 or more."""
-    return drop_alike(docs, size=NEAR_WORDS, threshold=NEAR_JACCARD)
+    """One document of each group of near-duplicates: pairs that SimHash links, as ``op8`` does, or that share a band
+    of least hashes, verified as 5-word shingles with a Jaccard index of 0.8 or more."""
+    return drop_near(docs, size=NEAR_WORDS, threshold=NEAR_JACCARD)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,9 @@ nor one of texts less alike is compared pair by pair, and no pair that shares a
 Defined results: a null text is empty; texts without words are alike; words are those of ``simhash``, a
 text of fewer words than a shingle is one shingle; repeats of a shingle count once; a component whose
 documents all lack an id has a null component id; other columns are never read.
+
+Pairs that another method found may be ``given``: they are verified before those of the bands, which then
+are asked only for what is not yet connected.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fieldlake.llm.common import one_of_each, saved, texts
 from fieldlake.llm.components import components
 from fieldlake.llm.seeds import mix64
+from fieldlake.llm.simhash import close_texts
 
 SEED = 42
 SHINGLE_WORDS = 5
@@ -163,10 +167,12 @@ def jaccard_components(
     threshold: float = THRESHOLD,
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_hash, component_id, component``.
 
     ``component_id`` is the least id reachable by pairs alike by ``threshold``, ``component`` the least node.
+    ``given`` holds pairs ``a, b`` of text hashes to verify beside those that share a band.
     """
     whole = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     rows = saved(
@@ -177,9 +183,18 @@ def jaccard_components(
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     buckets = saved(members.join(heads.drop("n"), "key"), "bands")
 
-    # one text for each node that shares a band
+    asked = buckets.select("node")
+    if given is not None:
+        named = rows.select("text_hash", "node").distinct()
+        for end in ("a", "b"):
+            given = given.join(named.select(F.col("text_hash").alias(end), F.col("node").alias(f"node_{end}")), end)
+        given = given.where("node_a <> node_b").select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
+        given = saved(given.distinct(), "given")
+        asked = asked.union(given.select("a")).union(given.select("b"))
+
+    # one text for each node that shares a band or is in a given pair
     own = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    wanted = own.join(buckets.select("node").distinct(), "node", "left_semi")
+    wanted = own.join(asked.distinct(), "node", "left_semi")
     held = saved(whole.select("text_hash", "text").join(wanted, "text_hash").dropDuplicates(["node"]).select("node", "text"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -190,8 +205,13 @@ def jaccard_components(
 
     # each node with the least of its bands' heads, then with those heads it is not connected to
     tied = buckets.where("node <> head").select("node", "head").distinct()
+    found = None if given is None else verified(given)
+    if found is not None:
+        tied = _classed(tied, found, "node", "head").where("node_class <> head_class").select("node", "head")
+        tied = saved(tied, "heads")
     least = saved(tied.groupBy("node").agg(F.min("head").alias("head")), "heads")
     links = verified(least.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    links = links if found is None else links.unionByName(found)
     apart = _classed(tied.join(least, ["node", "head"], "left_anti"), links, "node", "head")
     links = links.unionByName(
         verified(apart.where("node_class <> head_class").select(F.col("node").alias("a"), F.col("head").alias("b")))
@@ -236,3 +256,15 @@ def drop_alike(
 ) -> DataFrame:
     """Of each component the document with the least id, as ``simhash.drop_near_duplicates`` keeps it."""
     return one_of_each(docs, jaccard_components(docs, id_col, text_col, size, threshold), id_col, text_col)
+
+
+def drop_near(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SHINGLE_WORDS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """As ``drop_alike``, the pairs that SimHash links verified first; bands then find pairs alike that it does not link."""
+    close = close_texts(docs, id_col, text_col)
+    return one_of_each(docs, jaccard_components(docs, id_col, text_col, size, threshold, given=close), id_col, text_col)

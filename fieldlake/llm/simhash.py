@@ -170,6 +170,20 @@ def simhash_components(
     )
 
 
+def close_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
+    """Pairs ``a, b`` of text hashes that connect all texts whose fingerprints are linked, as ``simhash_components`` links them."""
+    each = texts(docs, id_col, text_col).select(
+        F.xxhash64("text").alias("text_hash"), row_wise(fingerprint, "long")("text").alias("fp")
+    )
+    rows = saved(each.distinct(), "simhash")
+    heads = saved(rows.groupBy("fp").agg(F.min("text_hash").alias("head")), "simhash")
+    equal = rows.join(heads, "fp").where("text_hash <> head").select(F.col("text_hash").alias("a"), F.col("head").alias("b"))
+    near = close_links(heads.select("fp"), crowd=crowd)
+    for end in ("a", "b"):
+        near = near.join(heads.select(F.col("fp").alias(end), F.col("head").alias(f"head_{end}")), end)
+    return equal.unionByName(near.select(F.col("head_a").alias("a"), F.col("head_b").alias("b")))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the document with the least id, ties by text; all columns pass through.
 

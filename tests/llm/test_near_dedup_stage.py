@@ -1,0 +1,67 @@
+"""The near_dedup stage of the pipeline takes the links of SimHash, verified, before those of the bands."""
+
+import random
+
+import corpus_pipeline
+import pytest
+from fieldlake.llm import minhash, simhash
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    """One text of 300 words, three with one word replaced, one with sixty, and one of other words that comes twice."""
+    rng, rows = random.Random(4), []
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    for i, n in enumerate((0, 1, 1, 1, 60)):
+        changed = list(words)
+        for at in rng.sample(range(300), n):
+            changed[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(changed)))
+    rows += [(i, " ".join(f"y{at}" for at in range(100))) for i in (8, 9)]
+    return rows, spark.createDataFrame([*rows, (None, None), (10, "")], "doc_id long, text string")
+
+
+def linked(rows):
+    """Groups of ids, from all pairs in plain Python, whose fingerprints are at most two bits apart."""
+    prints = {d: simhash.fingerprint(t) & (1 << 64) - 1 for d, t in rows}
+    group = {d: d for d in prints}
+    for _ in prints:
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 2:
+                    group[a] = group[b] = min(group[a], group[b])
+    return group
+
+
+def test_close_texts_connect_what_simhash_links(spark, table):
+    from pyspark.sql import functions as F
+
+    rows, docs = table
+    hashes = {r.doc_id: r.h for r in docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    group = {h: h for h in hashes.values()}
+    pairs = [(r.a, r.b) for r in simhash.close_texts(docs).collect()]
+    for _ in group:
+        for a, b in pairs:
+            group[a] = group[b] = min(group[a], group[b])
+    want = linked(rows)
+    assert any(want[d] != d for d in range(1, 4))
+    for a in want:
+        for b in want:
+            assert (want[a] == want[b]) == (group[hashes[a]] == group[hashes[b]])
+
+
+def test_links_of_simhash_are_taken_where_the_bands_find_none(spark, table, monkeypatch):
+    rows, docs = table
+    sets = {d: minhash.shingle_set(t) for d, t in rows}
+    want = linked(rows)
+    assert all(minhash.jaccard(sets[d], sets[want[d]]) >= 0.8 for d in want)
+    # of 512 least hashes at once nothing but equal sets agrees
+    whole = minhash.jaccard_components
+    monkeypatch.setattr(minhash, "jaccard_components", lambda *a, **k: whole(*a, **k, bands=1, band_rows=512))
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").where("doc_id is not null").collect())
+    assert got == sorted({*want.values(), 10})
+
+
+def test_the_stage_keeps_one_of_each_group_alike(spark, table):
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, table[1], "").where("doc_id is not null").collect())
+    assert got == [0, 4, 8, 10]
