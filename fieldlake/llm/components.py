@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fieldlake.llm.common import saved
+from fieldlake.session import shuffles_removed
 
 
 def _stamp(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
-    ).first()
-    return tuple(row)
+    found = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
+    with shuffles_removed(edges.sparkSession):
+        return tuple(found.first())
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
