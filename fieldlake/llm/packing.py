@@ -60,18 +60,30 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(model)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _lacking(self, some: set[bytes]) -> set[bytes]:
+        """Those of ``some`` to be asked for; what was known before the last turn of the store is known again."""
+        known, before = self.known, self.before
+        new = some.difference(known)
+        lacking = new.difference(before)
+        for x in new.difference(lacking):
+            ids = known[x] = before[x]
+            self.held += len(x) + len(ids)
+        return lacking
+
     def _learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
         """The ids of all these, those known before or asked for now.
 
         A word of Latin letters and signs after it are asked for apart, as the rules match them apart, and a
-        word of ASCII letters in lower case, as the rules make it.
+        word of ASCII letters in lower case, as the rules make it. A full store is kept beside the next one until
+        that is full too, so that what comes again and again is asked for once.
         """
         if self.held > KNOWN_BYTES:
-            self.known, self.held = {}, 0
+            self.before, self.known, self.held = self.known, {}, 0
         known, parts, ask = self.known, [], set()
-        for x in stretches.difference(known):
+        for x in self._lacking(stretches):
             found = ASCII_WORD.fullmatch(x)
             if found:
                 word, signs = found.groups()
@@ -88,7 +100,7 @@ class Encoder:
                 ask.add(word)
             if signs and signs not in known:
                 ask.add(signs)
-        asked = list(ask)
+        asked = list(self._lacking(ask))
         for x, found in zip(asked, self.tokenizer.encode_batch_fast([x.decode() for x in asked], add_special_tokens=False), strict=True):
             ids = known[x] = array("I", found.ids).tobytes()
             self.held += len(x) + len(ids)
