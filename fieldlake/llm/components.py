@@ -15,7 +15,10 @@ def _stamp(edges: DataFrame) -> tuple:
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Each node's neighbours are hung on the least of them; the hub's side of the join may be split."""
+    """Each node's neighbours are hung on the least of them; the hub's side of the join may be split.
+
+    The hooks may repeat; a large star has one for each edge.
+    """
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
@@ -23,11 +26,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("hub"), "m")
     joined = both.join(least, both.a == least.hub)
     if large:
-        out = joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-    else:
-        own = least.select(F.col("hub").alias("a"), F.col("m").alias("b"))
-        out = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(own)
-    return out.where("a > b").distinct()
+        return joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+    hooks = [F.struct(F.col(c).alias("a"), F.col("m").alias("b")) for c in ("a", "b")]
+    return joined.select(F.explode(F.array(*hooks)).alias("hook")).select("hook.*").where("a > b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     ).where("a > b").distinct(), "links")
     stamp = _stamp(now)
     while stamp[0]:
-        now = saved(_star(_star(now, large=True), large=False), "stars")
+        now = saved(_star(_star(now, large=True), large=False).distinct(), "stars")
         before, stamp = stamp, _stamp(now)
         if stamp == before:
             break

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldlake.llm.common import one_of_each, saved, texts
+from fieldlake.llm.common import one_of_each, saved, saved_alone, texts
 from fieldlake.llm.components import components
 from fieldlake.llm.seeds import mix64
 from fieldlake.llm.simhash import close_texts
@@ -150,11 +150,15 @@ def _possible(sets: DataFrame, threshold: float) -> DataFrame:
     ).where(differ <= (F.col("n_a") + F.col("n_b")) * (1 - both) + 1e-9).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _classed(nodes: DataFrame, links: DataFrame, *names: str) -> DataFrame:
-    """``nodes`` with the component of each column ``name`` as ``name_class``."""
-    found = saved(components(links), "classes")
+def _classes(links: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of each node of ``links`` and the least node it is connected to: the same classes with fewer links."""
+    return saved(components(links).select(F.col("node").alias("a"), F.col("component").alias("b")), "classes")
+
+
+def _classed(nodes: DataFrame, classes: DataFrame, *names: str) -> DataFrame:
+    """``nodes`` with the class of each column ``name`` as ``name_class``, by the pairs of ``_classes``."""
     for name in names:
-        own = found.select(F.col("node").alias(name), F.col("component").alias("held"))
+        own = classes.select(F.col("a").alias(name), F.col("b").alias("held"))
         nodes = nodes.join(own, name, "left").withColumn(f"{name}_class", F.coalesce("held", name)).drop("held")
     return nodes
 
@@ -205,17 +209,17 @@ def jaccard_components(
 
     # each node with the least of its bands' heads, then with those heads it is not connected to
     tied = buckets.where("node <> head").select("node", "head").distinct()
-    found = None if given is None else verified(given)
-    if found is not None:
-        tied = _classed(tied, found, "node", "head").where("node_class <> head_class").select("node", "head")
+    links = None if given is None else _classes(verified(given))
+    if links is not None:
+        tied = _classed(tied, links, "node", "head").where("node_class <> head_class").select("node", "head")
         tied = saved(tied, "heads")
     least = saved(tied.groupBy("node").agg(F.min("head").alias("head")), "heads")
-    links = verified(least.select(F.col("node").alias("a"), F.col("head").alias("b")))
-    links = links if found is None else links.unionByName(found)
+    more = verified(least.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    links = _classes(more if links is None else links.unionByName(more))
     apart = _classed(tied.join(least, ["node", "head"], "left_anti"), links, "node", "head")
-    links = links.unionByName(
+    links = _classes(links.unionByName(
         verified(apart.where("node_class <> head_class").select(F.col("node").alias("a"), F.col("head").alias("b")))
-    )
+    ))
     # then nodes of bands that are not connected throughout, with that node of the band whose shingles are the
     # most common among them: of copies with edits the one with the fewest
     def torn() -> DataFrame:
@@ -233,10 +237,12 @@ def jaccard_components(
     common = listed.join(times, "shingle").groupBy("node").agg(F.avg("times").alias("common"))
     centres = apart.join(common, "node").groupBy("key").agg(F.max(F.struct("common", "node", "node_class")).alias("centre"))
     pairs = apart.join(saved(centres, "centres"), "key").where("node_class <> centre.node_class")
-    links = links.unionByName(verified(pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()))
+    links = _classes(links.unionByName(
+        verified(pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct())
+    ))
     # at last those of bands still not connected, among themselves
     apart = saved(torn().select("node", "node_class").distinct(), "apart")
-    links = links.unionByName(verified(_possible(saved(sets.join(apart, "node"), "shingles"), threshold)))
+    links = _classes(links.unionByName(verified(_possible(saved(sets.join(apart, "node"), "shingles"), threshold))))
 
     classed = _classed(rows.groupBy("node").agg(F.min("doc_id").alias("least")), links, "node").withColumnRenamed(
         "node_class", "component"
@@ -255,7 +261,8 @@ def drop_alike(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Of each component the document with the least id, as ``simhash.drop_near_duplicates`` keeps it."""
-    return one_of_each(docs, jaccard_components(docs, id_col, text_col, size, threshold), id_col, text_col)
+    rows = saved_alone(docs.sparkSession, lambda: jaccard_components(docs, id_col, text_col, size, threshold), "alike")
+    return one_of_each(docs, rows, id_col, text_col)
 
 
 def drop_near(
@@ -266,5 +273,9 @@ def drop_near(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """As ``drop_alike``, the pairs that SimHash links verified first; bands then find pairs alike that it does not link."""
-    close = close_texts(docs, id_col, text_col)
-    return one_of_each(docs, jaccard_components(docs, id_col, text_col, size, threshold, given=close), id_col, text_col)
+
+    def rows() -> DataFrame:
+        close = close_texts(docs, id_col, text_col)
+        return jaccard_components(docs, id_col, text_col, size, threshold, given=close)
+
+    return one_of_each(docs, saved_alone(docs.sparkSession, rows, "near"), id_col, text_col)

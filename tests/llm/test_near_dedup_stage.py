@@ -1,10 +1,12 @@
 """The near_dedup stage of the pipeline takes the links of SimHash, verified, before those of the bands."""
 
+import os
 import random
 
 import corpus_pipeline
 import pytest
 from fieldlake.llm import minhash, simhash
+from fieldlake.session import scratch_run
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +67,11 @@ def test_links_of_simhash_are_taken_where_the_bands_find_none(spark, table, monk
 def test_the_stage_keeps_one_of_each_group_alike(spark, table):
     got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, table[1], "").where("doc_id is not null").collect())
     assert got == [0, 4, 8, 10]
+
+
+def test_the_stage_leaves_one_scratch_table(spark, table):
+    with scratch_run(spark) as folder:
+        got = corpus_pipeline.near_dedup(spark, table[1], "").where("doc_id is not null")
+        assert sorted(r.doc_id for r in got.collect()) == [0, 4, 8, 10]
+        left = [name.split("-")[0] for name in os.listdir(folder)]
+    assert left == ["near"]
